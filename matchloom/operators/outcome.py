@@ -97,20 +97,20 @@ def match_totals(facts: DataFrame, players: DataFrame) -> DataFrame:
     return facts.groupBy("game_version").agg(F.count_distinct("match_id").alias("matches"))
 
 
+def _counts() -> list[Column]:
+    place = F.col("placement")
+    return [
+        F.count("*").alias("n_rows"),
+        F.count(place).alias("n_placed"),
+        F.sum(place).cast("long").alias("place_sum"),
+        F.count(F.when(place == 1, 1)).alias("n_win"),
+        F.count(F.when(place <= 4, 1)).alias("n_top4"),
+    ]
+
+
 def tally(df: DataFrame, keys: list[str]) -> DataFrame:
     """Mergeable outcome counts per key; rows with a NULL key are left out."""
-    place = F.col("placement")
-    return (
-        df.na.drop(subset=keys)
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count(place).alias("n_placed"),
-            F.sum(place).cast("long").alias("place_sum"),
-            F.count(F.when(place == 1, 1)).alias("n_win"),
-            F.count(F.when(place <= 4, 1)).alias("n_top4"),
-        )
-    )
+    return df.na.drop(subset=keys).groupBy(*keys).agg(*_counts())
 
 
 def rolled_up(tallies: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,24 +119,31 @@ def rolled_up(tallies: DataFrame, keys: list[str]) -> DataFrame:
     return tallies.na.drop(subset=keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
 
 
-# An unknown placement counts in the denominators of win and top4 but not in the mean placement.
-AVG_PLACE = F.try_divide(F.col("place_sum"), F.col("n_placed"))
-WIN = F.col("n_win") / F.col("n_rows")
-TOP4 = F.col("n_top4") / F.col("n_rows")
+def mean_place() -> Column:
+    return F.try_divide(F.col("place_sum"), F.col("n_placed"))
+
+
+def win_rate() -> Column:
+    """An unknown placement counts in this denominator, though not in the mean placement."""
+    return F.col("n_win") / F.col("n_rows")
 
 
-def _rounded_rates() -> dict[str, Column]:
-    return {"win": half_even(WIN, 3), "top4": half_even(TOP4, 3)}
+def top4_rate() -> Column:
+    return F.col("n_top4") / F.col("n_rows")
+
+
+def _rounded_rates() -> list[Column]:
+    return [half_even(win_rate(), 3).alias("win"), half_even(top4_rate(), 3).alias("top4")]
 
 
 def outcome_stats(df: DataFrame, keys: list[str]) -> DataFrame:
     """Unrounded mean placement, frequency, win and top-four rate per key."""
     return tally(df, keys).select(
         *keys,
-        AVG_PLACE.alias("avg_place"),
+        mean_place().alias("avg_place"),
         F.col("n_placed").alias("frequency"),
-        WIN.alias("win"),
-        TOP4.alias("top4"),
+        win_rate().alias("win"),
+        top4_rate().alias("top4"),
     )
 
 
@@ -149,7 +156,7 @@ def _valid_units(units: DataFrame) -> DataFrame:
 
 def _unit_overall(tallies: DataFrame) -> DataFrame:
     return rolled_up(tallies, UNIT).select(
-        *UNIT, F.col("n_placed"), half_even(AVG_PLACE, 2).alias("avg_place"), WIN.alias("win"), TOP4.alias("top4")
+        *UNIT, F.col("n_placed"), half_even(mean_place(), 2).alias("avg_place"), win_rate().alias("win"), top4_rate().alias("top4")
     )
 
 
@@ -179,9 +186,9 @@ def item_build_stats(players: DataFrame, units: DataFrame, min_count: int = MIN_
         *UNIT,
         "item_build",
         half_even(F.col("n_placed") / F.col("unit_placed"), 3).alias("frequency"),
-        half_even(AVG_PLACE, 2).alias("avg_place"),
-        half_even(AVG_PLACE - F.col("unit_place"), 2).alias("avg_delta"),
-        *[c.alias(n) for n, c in _rounded_rates().items()],
+        half_even(mean_place(), 2).alias("avg_place"),
+        half_even(mean_place() - F.col("unit_place"), 2).alias("avg_delta"),
+        *_rounded_rates(),
     )
     return stats.filter(F.col("frequency") > 0).orderBy(
         *version_order(), "rarity", F.desc("character_id"), "item_build"
@@ -210,8 +217,8 @@ def trait_stats(players: DataFrame, traits: DataFrame, trait_tiers: DataFrame) -
         "trait_style",
         "min_units_required",
         half_even(F.col("n_rows") / F.col("matches"), 2).alias("play_rate"),
-        half_even(AVG_PLACE, 2).alias("avg_place"),
-        *[c.alias(n) for n, c in _rounded_rates().items()],
+        half_even(mean_place(), 2).alias("avg_place"),
+        *_rounded_rates(),
     ).orderBy(*version_order(), "trait_id", "current_tier", "trait_style", "max_tier")
 
 
@@ -244,40 +251,25 @@ ITEM = ["game_version", "items"]
 def _item_tallies(players: DataFrame, units: DataFrame) -> DataFrame:
     """One tally per version, unit and item list: all that the item statistics are made of."""
     facts = placed(units, players).withColumn("items", F.array_sort("items"))
-    return (
-        facts.filter(F.col("game_version").isNotNull())
-        .groupBy(*UNIT, "items")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.count("placement").alias("n_placed"),
-            F.sum("placement").cast("long").alias("place_sum"),
-            F.count(F.when(F.col("placement") == 1, 1)).alias("n_win"),
-            F.count(F.when(F.col("placement") <= 4, 1)).alias("n_top4"),
-        )
-    )
-
-
-def _carrier_tallies(lists: DataFrame) -> DataFrame:
-    exploded = lists.filter(F.size("items") > 0).withColumn("items", F.explode("items"))
-    return rolled_up(exploded, [*ITEM, "character_id"])
+    return facts.filter(F.col("game_version").isNotNull()).groupBy(*UNIT, "items").agg(*_counts())
 
 
-def _item_overall(lists: DataFrame) -> DataFrame:
+def _per_item(lists: DataFrame, keys: list[str]) -> DataFrame:
     exploded = lists.filter(F.size("items") > 0).withColumn("items", F.explode("items"))
-    return rolled_up(exploded, ITEM)
+    return rolled_up(exploded, keys)
 
 
 def _top_carriers(lists: DataFrame, n: int, min_share: float) -> DataFrame:
-    carriers = _carrier_tallies(lists).select(
+    carriers = _per_item(lists, [*ITEM, "character_id"]).select(
         *ITEM,
         "character_id",
         F.col("n_placed").alias("carried"),
-        AVG_PLACE.alias("place"),
-        WIN.alias("carrier_win"),
-        TOP4.alias("carrier_top4"),
+        mean_place().alias("place"),
+        win_rate().alias("carrier_win"),
+        top4_rate().alias("carrier_top4"),
     )
-    items = _item_overall(lists).select(
-        *ITEM, F.col("n_rows").alias("total_count"), half_even(AVG_PLACE, 2).alias("item_place")
+    items = _per_item(lists, ITEM).select(
+        *ITEM, F.col("n_rows").alias("total_count"), half_even(mean_place(), 2).alias("item_place")
     )
     units = _unit_overall(_valid_units(lists)).select(*UNIT, F.col("avg_place").alias("unit_place"))
     stats = (
@@ -335,15 +327,15 @@ def item_stats(players: DataFrame, units: DataFrame, n: int = TOP_CARRIERS, min_
         )
         .select(*ITEM, F.transform("ranked", lambda s: s.dropFields("rank")).alias("top_units"))
     )
-    kept = _item_overall(lists).withColumn("type", item_type(F.col("items")))
+    kept = _per_item(lists, ITEM).withColumn("type", item_type(F.col("items")))
     kept = kept.filter(~F.col("type").isin(LEFT_OUT_TYPES))
     stats = kept.join(totals, "game_version").join(carriers, ITEM, "left")
     return stats.select(
         *ITEM,
         half_even(F.col("n_rows") / (F.col("matches") * PLAYERS), 3).alias("frequency"),
         half_even(F.col("n_rows") / F.col("matches"), 2).alias("play_rate"),
-        half_even(AVG_PLACE, 2).alias("avg_place"),
-        *[c.alias(name) for name, c in _rounded_rates().items()],
+        half_even(mean_place(), 2).alias("avg_place"),
+        *_rounded_rates(),
         "top_units",
         "type",
     ).orderBy(*version_order(), type_rank(F.col("type")).asc_nulls_last(), "items")
