@@ -9,7 +9,6 @@ from matchloom.functions.boards import emblem_items, id_prefix, sort_traits, sor
 from matchloom.functions.scalars import joined_key, version_order
 from matchloom.schemas import BOARD
 
-MAX_LEVEL = 10
 MAX_LOOKUP = 10_000
 
 
@@ -59,8 +58,7 @@ def _boards_of_level(units: DataFrame, players: DataFrame, emblems: DataFrame, m
     in_order = F.array_sort(F.collect_list(F.struct("slot_idx", "unit", "full", "held")))
     boards = few.groupBy(*BOARD).agg(in_order.alias("slots"))
 
-    levels = players.filter(F.col("level") <= max_level)
-    levels = levels.select("game_version", *BOARD, "level", "placement").distinct()
+    levels = players.select("game_version", *BOARD, "level", "placement").distinct()
     fitting = boards.join(levels, BOARD).filter(F.size("slots") == F.col("level"))
     listed = fitting.select(
         "game_version",
@@ -115,14 +113,15 @@ def build_comps(
     traits: DataFrame,
     trait_tiers: DataFrame,
     emblems: DataFrame,
-    max_level: int | None = MAX_LEVEL,
+    max_level: int | None = None,
     ignore_threshold: int = 1,
     ordered: bool = True,
 ) -> DataFrame:
     """Legal compositions with as many units as the player's level, one row per board.
 
     ``players`` has game_version, match_id, puuid, placement and level; the version and the two ids
-    name a board, and a match has one version. Without ``max_level`` the highest level is looked up.
+    name a board, and a match has one version. ``max_level`` saves looking up the highest level and
+    must not be below it.
     """
     if max_level is None:
         max_level = players.agg(F.max("level")).first()[0] or 0

@@ -33,7 +33,7 @@ def subsets(items: Column) -> Column:
     return F.filter(powerset, lambda s: F.size(s) > 0)
 
 
-def _with_anchor(itemsets: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
+def _with_anchor(itemsets: DataFrame, sets: DataFrame) -> DataFrame:
     """Add each itemset's unit that the fewest sets hold."""
     use = sets.select(F.explode("unit_set").alias("item")).groupBy("item").agg(F.count("*").alias("n_sets"))
     rows = itemsets.select("itemset_id", F.explode("itemset").alias("item")).join(use, "item", "left")
@@ -43,16 +43,14 @@ def _with_anchor(itemsets: DataFrame, sets: DataFrame, by: list[str]) -> DataFra
     return itemsets.join(rarest, "itemset_id")
 
 
-def containing(
-    itemsets: DataFrame, sets: DataFrame, by: list[str], max_sent: int = MAX_SENT
-) -> DataFrame:
+def containing(itemsets: DataFrame, sets: DataFrame, by: list[str], max_sent: int = MAX_SENT) -> DataFrame:
     """Pairs of an itemset and a unit set holding all of it, with equal ``by`` columns.
 
     ``itemsets``: itemset_id (unique), itemset (canonical), the ``by`` columns and others.
     ``sets``: unit_set (canonical), the ``by`` columns and others.
     """
     if is_small(itemsets, max_sent):
-        anchored = F.broadcast(_with_anchor(itemsets, sets, by))
+        anchored = F.broadcast(_with_anchor(itemsets, sets))
         exploded = sets.select("*", F.explode("unit_set").alias("anchor"))
         pairs = exploded.join(anchored, [*by, "anchor"])
         return pairs.filter(contains_all(F.col("unit_set"), F.col("itemset"))).drop("anchor")
