@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,21 +11,21 @@ from matchloom.functions.boards import emblem_items, id_prefix, sort_traits, sor
 from matchloom.functions.scalars import joined_key, version_order
 from matchloom.schemas import BOARD
 
-MAX_LOOKUP = 10_000
+MAX_LOOKUP = 1_000
 
 
-def is_small(df: DataFrame, rows: int = MAX_LOOKUP) -> bool:
+def is_small(df: DataFrame, rows: int) -> bool:
     """True if ``df`` has at most ``rows`` rows; reads no more than that."""
     return df.limit(rows + 1).count() <= rows
 
 
-def lookup(dimension: DataFrame, key: str, value: str) -> Column:
-    """A small dimension as a map value, computed once and sent with the plan.
-
-    Only for dimensions that ``is_small`` has passed.
-    """
-    pairs = dimension.filter(F.col(key).isNotNull()).select(key, value).distinct()
-    return pairs.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
+def lookup(dimension: DataFrame, key: str, value: str, rows: int = MAX_LOOKUP) -> Column | None:
+    """A dimension of at most ``rows`` rows as a constant map; None if it is longer."""
+    found = dimension.filter(F.col(key).isNotNull()).select(key, value).limit(rows + 1).collect()
+    if len(found) > rows:
+        return None
+    kind = dimension.schema[value].dataType.simpleString()
+    return F.from_json(F.lit(json.dumps({r[0]: r[1] for r in found})), f"map<string,{kind}>")
 
 
 def thresholds(trait_tiers: DataFrame) -> DataFrame:
@@ -74,9 +76,9 @@ def _boards_of_level(units: DataFrame, players: DataFrame, emblems: DataFrame, m
 
 def _with_emblem_traits(boards: DataFrame, emblems: DataFrame) -> DataFrame:
     """Replace the emblem items a board holds by their traits, in order; an unknown emblem gives NULL."""
-    if is_small(emblems):
-        known = lookup(emblems, "item_id", "trait_id")
-        return boards.withColumn("emblems", F.transform("held", lambda i: F.get(F.array(known[i]), F.lit(0)))).drop("held")
+    known = lookup(emblems, "item_id", "trait_id")
+    if known is not None:
+        return boards.withColumn("emblems", F.transform("held", lambda i: known[i])).drop("held")
     columns = [c for c in boards.columns if c != "held"]
     named = boards.select("*", F.posexplode_outer("held").alias("pos", "item_id")).join(emblems, "item_id", "left")
     in_order = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "trait_id"))))
@@ -150,11 +152,10 @@ def _counted(traits: Column) -> Column:
     )
 
 
-def _unit_trait_counts(units: Column, unit_traits: DataFrame, bonus: Column | None) -> Column:
+def _unit_trait_counts(units: Column, traits_of: Column, bonus: Column | None) -> Column:
     """Array of (trait_id, n) over a unit list; every copy of a unit counts, unknown units add nothing."""
-    known = lookup(unit_traits, "character_id", "traits")
     none = F.array().cast("array<string>")
-    listed = F.flatten(F.transform(units, lambda u: F.coalesce(known[id_prefix(u)], none)))
+    listed = F.flatten(F.transform(units, lambda u: F.coalesce(traits_of[id_prefix(u)], none)))
     if bonus is not None:
         listed = F.concat(listed, F.coalesce(bonus, none))
     return _counted(listed)
@@ -181,10 +182,10 @@ def _joined_trait_counts(
 def illegal_traits(df: DataFrame, units: str, unit_traits: DataFrame, trait_tiers: DataFrame) -> DataFrame:
     """Add ``n_illegal``: traits of a unit list whose count is two or more but not an exact tier need."""
     needs = thresholds(trait_tiers)
-    if is_small(unit_traits) and is_small(needs):
-        known = lookup(needs, "trait_id", "needs")
-        counts = _unit_trait_counts(F.col(units), unit_traits, None)
-        illegal = F.filter(counts, lambda c: off_threshold(c["n"], known[c["trait_id"]]))
+    traits_of, needs_of = lookup(unit_traits, "character_id", "traits"), lookup(needs, "trait_id", "needs")
+    if traits_of is not None and needs_of is not None:
+        counts = _unit_trait_counts(F.col(units), traits_of, None)
+        illegal = F.filter(counts, lambda c: off_threshold(c["n"], needs_of[c["trait_id"]]))
         return df.withColumn("n_illegal", F.size(illegal))
     counted = _joined_trait_counts(df, units, unit_traits, needs, None)
     off = counted.groupBy(units).agg(F.count(F.when(off_threshold(F.col("n"), F.col("needs")), 1)).alias("n_illegal"))
@@ -213,9 +214,9 @@ def legal_by_traits(df: DataFrame, traits: str, trait_tiers: DataFrame, ignore_t
         ),
     )
     last = F.filter(later, lambda s: ~s["again"])
-    if is_small(needs):
-        known = lookup(needs, "trait_id", "needs")
-        illegal = F.size(F.filter(last, lambda s: off_threshold(s["n"], known[s["trait_id"]])))
+    needs_of = lookup(needs, "trait_id", "needs")
+    if needs_of is not None:
+        illegal = F.size(F.filter(last, lambda s: off_threshold(s["n"], needs_of[s["trait_id"]])))
         return df.withColumn("is_legal", illegal <= ignore_threshold)
     rows = df.select(traits).distinct().select(traits, F.inline(last)).join(needs, "trait_id", "left")
     off = rows.groupBy(traits).agg(F.count(F.when(off_threshold(F.col("n"), F.col("needs")), 1)).alias("_off"))
@@ -242,10 +243,10 @@ def active_traits(
         ranked = F.transform(counts, lambda c: F.struct((-c["n"]).alias("less"), c["trait_id"].alias("trait_id"), c["n"].alias("n")))
         return F.transform(F.array_sort(ranked), lambda r: F.struct(r["trait_id"].alias("trait_id"), r["n"].alias("n")))
 
-    if is_small(unit_traits) and is_small(needs):
-        known = lookup(needs, "trait_id", "needs")
-        counts = _unit_trait_counts(F.col(units), unit_traits, F.col(bonus) if bonus else None)
-        reached = F.filter(counts, lambda c: c["n"] >= F.get(known[c["trait_id"]], F.lit(0)))
+    traits_of, needs_of = lookup(unit_traits, "character_id", "traits"), lookup(needs, "trait_id", "needs")
+    if traits_of is not None and needs_of is not None:
+        counts = _unit_trait_counts(F.col(units), traits_of, F.col(bonus) if bonus else None)
+        reached = F.filter(counts, lambda c: c["n"] >= F.get(needs_of[c["trait_id"]], F.lit(0)))
         return df.withColumn(out, in_order(reached))
     counted = _joined_trait_counts(df, units, unit_traits, needs, bonus)
     counted = counted.filter(F.col("n") >= F.get("needs", F.lit(0)))

@@ -55,5 +55,5 @@ def containing(itemsets: DataFrame, sets: DataFrame, by: list[str], max_sent: in
         pairs = exploded.join(anchored, [*by, "anchor"])
         return pairs.filter(contains_all(F.col("unit_set"), F.col("itemset"))).drop("anchor")
     sizes = itemsets.agg(F.collect_set(F.size("itemset"))).scalar()
-    wanted = F.filter(subsets(F.col("unit_set")), lambda s: F.array_contains(sizes, F.size(s)))
-    return sets.select("*", F.explode(wanted).alias("itemset")).join(itemsets, [*by, "itemset"])
+    parts = sets.select("*", F.explode(subsets(F.col("unit_set"))).alias("itemset"))
+    return parts.filter(F.array_contains(sizes, F.size("itemset"))).join(itemsets, [*by, "itemset"])

@@ -93,9 +93,9 @@ def dedup_comps(comps: DataFrame, order: list[Column], by: list[str] | None = No
     own = comps.withColumn("_order", F.struct(*order)).withColumn("_set", canonical(F.col("itemsets")))
     first = own.groupBy(*by, "_set").agg(F.min("_order").alias("_first"))
     sizes = first.agg(F.collect_set(F.size("_set"))).scalar()
-    parts = F.filter(subsets(F.col("_set")), lambda s: F.array_contains(sizes, F.size(s)))
     # Equal sets have equal subsets, so each set looks its subsets up once.
-    part = first.select(*by, "_set", F.explode(parts).alias("_part"))
+    part = first.select(*by, "_set", F.explode(subsets(F.col("_set"))).alias("_part"))
+    part = part.filter(F.array_contains(sizes, F.size("_part")))
     seen = part.join(first.select(*by, F.col("_set").alias("_part"), "_first"), [*by, "_part"])
     earliest = seen.groupBy(*by, "_set").agg(F.min("_first").alias("_earliest"))
     kept = own.join(earliest, [*by, "_set"]).filter(F.col("_order") <= F.col("_earliest"))
