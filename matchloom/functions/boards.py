@@ -84,18 +84,23 @@ def id_prefix(value: Column) -> Column:
 
 
 def emblem_items(items: Column) -> Column:
-    """The items of a list that are emblems; a missing list gives an empty one."""
-    safe = F.coalesce(items, F.array().cast("array<string>"))
-    return F.filter(safe, lambda x: x.contains(EMBLEM))
+    """The items of a list that are emblems; a missing list gives an empty one.
+
+    Most lists have none, which the joined text shows without going through the items.
+    """
+    found = F.filter(items, lambda x: x.contains(EMBLEM))
+    return F.when(F.array_join(items, ",").contains(EMBLEM), found).otherwise(F.array().cast("array<string>"))
 
 
 def item_build(items: Column) -> Column:
     """One string per set of items: a sole item alone, else all of them sorted and joined by ``+``."""
     sole = F.filter(items, lambda x: F.coalesce(x.contains(SOLE_ITEMS[0]) | x.contains(SOLE_ITEMS[1]), F.lit(False)))
+    joined = F.array_join(F.sort_array(items), "+")
+    maybe_sole = joined.contains(SOLE_ITEMS[0]) | joined.contains(SOLE_ITEMS[1])
     return (
         F.when(items.isNull() | (F.size(items) == 0), F.lit(""))
-        .when(F.size(sole) == 1, F.get(sole, F.lit(0)))
-        .otherwise(F.array_join(F.array_sort(items), "+"))
+        .when(maybe_sole & (F.size(sole) == 1), F.get(sole, F.lit(0)))
+        .otherwise(joined)
     )
 
 

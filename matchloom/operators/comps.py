@@ -19,10 +19,13 @@ def is_small(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def lookup(dimension: DataFrame, key: str, value: str, rows: int = MAX_LOOKUP) -> Column | None:
-    """A dimension of at most ``rows`` rows as a constant map; None if it is longer."""
-    found = dimension.filter(F.col(key).isNotNull()).select(key, value).limit(rows + 1).collect()
-    if len(found) > rows:
+def lookup(dimension: DataFrame, key: str, value: str) -> Column | None:
+    """A dimension of at most ``MAX_LOOKUP`` rows as a constant map; None if it is longer.
+
+    A constant needs no join, so facts are not moved to where a popular id is looked up.
+    """
+    found = dimension.filter(F.col(key).isNotNull()).select(key, value).limit(MAX_LOOKUP + 1).collect()
+    if len(found) > MAX_LOOKUP:
         return None
     kind = dimension.schema[value].dataType.simpleString()
     return F.from_json(F.lit(json.dumps({r[0]: r[1] for r in found})), f"map<string,{kind}>")
@@ -43,35 +46,29 @@ def off_threshold(count: Column, needs: Column) -> Column:
     return (count >= 2) & ~F.coalesce(F.array_contains(needs, count), F.lit(False))
 
 
-def _boards_of_level(units: DataFrame, players: DataFrame, emblems: DataFrame, max_level: int) -> DataFrame:
+def _boards_of_level(units: DataFrame, players: DataFrame, max_level: int) -> DataFrame:
     """Unit lists of the boards that have exactly as many units as the player's level.
 
     No level is above ``max_level``, so a board with more units can be cut to one unit more and still
     fails the test. Spark applies that cut in every task before the shuffle, which bounds what any
     one board sends and what its list can grow to.
     """
-    valid = units.filter(F.col("rarity") > -1).select(*BOARD, "character_id", "slot_idx", "rarity", "tier", "items")
+    unit = joined_key(F.col("character_id"), F.col("rarity"))
+    valid = units.filter(F.col("rarity") > -1).select(
+        *BOARD,
+        "slot_idx",
+        unit.alias("unit"),
+        joined_key(unit, F.col("tier")).alias("full"),
+        emblem_items(F.col("items")).alias("held"),
+    )
     by_slot = Window.partitionBy(*BOARD).orderBy("slot_idx")
     few = valid.withColumn("_n", F.row_number().over(by_slot)).filter(F.col("_n") <= max_level + 1).drop("_n")
-
-    unit = joined_key(F.col("character_id"), F.col("rarity"))
-    full = joined_key(unit, F.col("tier"))
-    few = few.select(*BOARD, "slot_idx", unit.alias("unit"), full.alias("full"), emblem_items("items").alias("held"))
     in_order = F.array_sort(F.collect_list(F.struct("slot_idx", "unit", "full", "held")))
     boards = few.groupBy(*BOARD).agg(in_order.alias("slots"))
 
     levels = players.select("game_version", *BOARD, "level", "placement").distinct()
     fitting = boards.join(levels, BOARD).filter(F.size("slots") == F.col("level"))
-    listed = fitting.select(
-        "game_version",
-        *BOARD,
-        "placement",
-        "level",
-        sort_units(F.col("slots.unit")).alias("combine_units"),
-        sort_units(F.col("slots.full"), tier=True).alias("combine_full_units"),
-        F.flatten("slots.held").alias("held"),
-    ).withColumn("has_emblem", F.size("held") > 0)
-    return _with_emblem_traits(listed, emblems)
+    return fitting.withColumn("held", F.flatten("slots.held"))
 
 
 def _with_emblem_traits(boards: DataFrame, emblems: DataFrame) -> DataFrame:
@@ -93,20 +90,21 @@ def _trait_lists(traits: DataFrame, trait_tiers: DataFrame) -> DataFrame:
     A board has one row per trait (the table's key, see ``key_violations``), so the lists are no
     longer than the list of traits.
     """
-    valid = traits.filter(F.col("max_tier") > 0).join(thresholds(trait_tiers), "trait_id", "left")
+    needs = thresholds(trait_tiers)
+    needs_of = lookup(needs, "trait_id", "needs")
+    valid = traits.filter(F.col("max_tier") > 0).select(*BOARD, "trait_id", "num_units", "current_tier")
+    if needs_of is not None:
+        valid = valid.withColumn("needs", needs_of[F.col("trait_id")])
+    else:
+        valid = valid.join(needs, "trait_id", "left")
     active = F.col("current_tier") > 0
     text = joined_key(F.col("trait_id"), F.col("num_units"), F.col("current_tier"))
     grouped = valid.groupBy(*BOARD).agg(
-        F.array_sort(F.collect_list(text)).alias("full"),
-        F.array_sort(F.collect_list(F.when(active, text))).alias("active"),
+        F.array_sort(F.collect_list(F.struct(text.alias("trait"), active.alias("active")))).alias("traits"),
+        F.count(F.when(active, 1)).alias("n_active"),
         F.count(F.when(active & off_threshold(F.col("num_units"), F.col("needs")), 1)).alias("n_illegal"),
     )
-    return grouped.filter(F.size("active") > 0).select(
-        *BOARD,
-        sort_traits(F.col("active")).alias("combine_active_traits"),
-        sort_traits(F.col("full")).alias("combine_full_traits"),
-        "n_illegal",
-    )
+    return grouped.filter(F.col("n_active") > 0)
 
 
 def build_comps(
@@ -127,20 +125,22 @@ def build_comps(
     """
     if max_level is None:
         max_level = players.agg(F.max("level")).first()[0] or 0
-    boards = _boards_of_level(units, players, emblems, max_level)
-    comps = boards.join(_trait_lists(traits, trait_tiers), BOARD).filter(F.col("n_illegal") <= ignore_threshold)
-    comps = comps.select(
+    boards = _boards_of_level(units, players, max_level)
+    listed = _trait_lists(traits, trait_tiers).filter(F.col("n_illegal") <= ignore_threshold)
+    # Lists are put in order only for the few boards that are left.
+    comps = boards.join(listed, BOARD).select(
         "game_version",
         *BOARD,
         "placement",
         "level",
-        "combine_units",
-        "combine_full_units",
-        "combine_active_traits",
-        "combine_full_traits",
-        "has_emblem",
-        "emblems",
+        sort_units(F.col("slots.unit")).alias("combine_units"),
+        sort_units(F.col("slots.full"), tier=True).alias("combine_full_units"),
+        sort_traits(F.filter("traits", lambda t: t["active"])["trait"]).alias("combine_active_traits"),
+        sort_traits(F.col("traits.trait")).alias("combine_full_traits"),
+        (F.size("held") > 0).alias("has_emblem"),
+        "held",
     )
+    comps = _with_emblem_traits(comps, emblems)
     return comps.orderBy(*version_order(), "match_id", "placement", "puuid") if ordered else comps
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.boards import contains_all
 from matchloom.operators.comps import is_small
+from matchloom.session import staged
 
 MAX_SENT = 20_000
 
@@ -33,26 +34,35 @@ def subsets(items: Column) -> Column:
     return F.filter(powerset, lambda s: F.size(s) > 0)
 
 
-def _with_anchor(itemsets: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add each itemset's unit that the fewest sets hold."""
+def prepared(itemsets: DataFrame, sets: DataFrame, max_sent: int = MAX_SENT) -> DataFrame:
+    """Itemsets ready for ``containing``, with an ``anchor`` if there are at most ``max_sent``.
+
+    The anchor is the unit of the itemset that the fewest of the sets hold.
+    """
+    if not is_small(itemsets, max_sent):
+        return itemsets
     use = sets.select(F.explode("unit_set").alias("item")).groupBy("item").agg(F.count("*").alias("n_sets"))
     rows = itemsets.select("itemset_id", F.explode("itemset").alias("item")).join(use, "item", "left")
     rarest = rows.groupBy("itemset_id").agg(
         F.min_by("item", F.struct(F.coalesce("n_sets", F.lit(0)), "item")).alias("anchor")
     )
-    return itemsets.join(rarest, "itemset_id")
+    return staged(itemsets.join(rarest, "itemset_id"), "itemsets")
+
+
+def is_sent(itemsets: DataFrame) -> bool:
+    """True if ``prepared`` found the itemsets few enough to send them to every task."""
+    return "anchor" in itemsets.columns
 
 
-def containing(itemsets: DataFrame, sets: DataFrame, by: list[str], max_sent: int = MAX_SENT) -> DataFrame:
+def containing(itemsets: DataFrame, sets: DataFrame, by: list[str]) -> DataFrame:
     """Pairs of an itemset and a unit set holding all of it, with equal ``by`` columns.
 
-    ``itemsets``: itemset_id (unique), itemset (canonical), the ``by`` columns and others.
-    ``sets``: unit_set (canonical), the ``by`` columns and others.
+    ``itemsets``, out of ``prepared``: itemset_id (unique), itemset (canonical), the ``by`` columns
+    and others. ``sets``: unit_set (canonical), the ``by`` columns and others.
     """
-    if is_small(itemsets, max_sent):
-        anchored = F.broadcast(_with_anchor(itemsets, sets))
+    if is_sent(itemsets):
         exploded = sets.select("*", F.explode("unit_set").alias("anchor"))
-        pairs = exploded.join(anchored, [*by, "anchor"])
+        pairs = exploded.join(F.broadcast(itemsets), [*by, "anchor"])
         return pairs.filter(contains_all(F.col("unit_set"), F.col("itemset"))).drop("anchor")
     sizes = itemsets.agg(F.collect_set(F.size("itemset"))).scalar()
     parts = sets.select("*", F.explode(subsets(F.col("unit_set"))).alias("itemset"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.boards import contains_all, normalise_tiers, without_tier
 from matchloom.functions.scalars import half_even, version_order
-from matchloom.operators.comps import active_traits, is_small
-from matchloom.operators.containment import MAX_SENT, canonical, containing
+from matchloom.operators.comps import active_traits
+from matchloom.operators.containment import MAX_SENT, canonical, containing, is_sent, prepared
 from matchloom.operators.outcome import mean_place, rolled_up, tally, top4_rate, win_rate
 from matchloom.session import staged
 
@@ -41,8 +41,8 @@ def comp_outcomes(
     Itemsets that no board holds have no row. Boards are tallied per unit set before the subset join.
     """
     sets = rolled_up(catalog, ["game_version", "unit_set"])
-    itemsets = _itemsets(freq).select("itemset_id", "itemset", "game_version")
-    pairs = containing(itemsets, sets, ["game_version"], max_sent)
+    itemsets = prepared(_itemsets(freq).select("itemset_id", "itemset", "game_version"), sets, max_sent)
+    pairs = containing(itemsets, sets, ["game_version"])
     stats = rolled_up(pairs, ["game_version", "itemset_id"]).join(total_matches, "game_version")
     return stats.select(
         "itemset_id",
@@ -72,25 +72,26 @@ def comp_evolution(
     only builds the plan, and each level's step refers to the step before once.
     """
     by = ["game_version"] if within_version else []
-    itemsets = _itemsets(freq).select("itemset_id", "itemset", "start_level", *by)
-    few = is_small(itemsets, max_sent)
+    itemsets = prepared(_itemsets(freq).select("itemset_id", "itemset", "start_level", *by), catalog, max_sent)
     boards = catalog.groupBy("level", "combine_full_units", "unit_set", *by).agg(F.sum("n_rows").alias("n"))
+    board = normalise_tiers(F.col("combine_full_units"))
+    boards = boards.select("*", board.alias("board"), canonical(without_tier(board)).alias("base"))
+    boards = staged(boards, "boards", ["level"])
 
     steps = itemsets.select("itemset_id", F.lit(None).cast("array<string>").alias("taken"))
     done: list[str] = []
     for level in range(first_level, last_level + 1):
-        found = containing(itemsets, boards.filter(F.col("level") == level), by, max_sent)
+        found = containing(itemsets, boards.filter(F.col("level") == level), by)
         found = found.filter(F.col("start_level") <= level)
-        board = normalise_tiers(F.col("combine_full_units"))
         candidates = found.select(
-            F.col("itemset_id"),
-            board.alias("board"),
-            canonical(without_tier(board)).alias("base"),
+            "itemset_id",
+            "board",
+            "base",
             F.struct((-F.col("n")).alias("less"), "combine_full_units").alias("place"),
         )
         # A row that stands for "none" keeps every itemset in the join.
         none = itemsets.select("itemset_id", *[F.lit(None).cast(candidates.schema[c].dataType).alias(c) for c in ("board", "base", "place")])
-        last = F.broadcast(steps) if few else steps
+        last = F.broadcast(steps) if is_sent(itemsets) else steps
         open_ = candidates.unionByName(none).join(last, "itemset_id")
         open_ = open_.filter(F.col("board").isNull() | F.col("taken").isNull() | contains_all(F.col("base"), F.col("taken")))
         best = F.min_by(F.struct("board", "base"), "place")

@@ -250,7 +250,7 @@ ITEM = ["game_version", "items"]
 
 def _item_tallies(players: DataFrame, units: DataFrame) -> DataFrame:
     """One tally per version, unit and item list: all that the item statistics are made of."""
-    facts = placed(units, players).withColumn("items", F.array_sort("items"))
+    facts = placed(units, players).withColumn("items", F.sort_array("items"))
     return facts.filter(F.col("game_version").isNotNull()).groupBy(*UNIT, "items").agg(*_counts())
 
 

@@ -42,6 +42,7 @@ def split_heavy(
     heavy = heavy_keys(df, keys, hot_rows, fraction)
     if heavy is None:
         return df, None
+    heavy = F.broadcast(heavy)
     return df.join(heavy, keys, "left_anti"), df.join(heavy, keys, "left_semi")
 
 

@@ -280,7 +280,8 @@ SQL["parse_and_explode"] = """
 SELECT l_orderkey AS match_id, l_partkey AS puuid, 'TFT_NoneUnit' AS character_id, 0 AS slot_idx, -1 AS rarity,
        -1 AS tier, '' AS items, l_linenumber, l_suppkey FROM lineitem WHERE l_linenumber = 1
 UNION ALL
-SELECT l_orderkey, l_partkey, 'T14_U' || CAST(l_partkey % 12 AS VARCHAR), 0, CAST(l_partkey % 5 AS INTEGER), NULL,
+SELECT l_orderkey, l_partkey, 'T14_U' || CAST(l_partkey % 12 AS VARCHAR), 0, CAST(l_partkey % 5 AS INTEGER),
+       CASE WHEN l_linenumber % 3 <> 0 THEN 2 END,
        'x: None, ' || l_returnflag || '|o''' || l_linestatus, l_linenumber, l_suppkey
 FROM lineitem WHERE l_linenumber > 1
 UNION ALL

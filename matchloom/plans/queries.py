@@ -130,7 +130,8 @@ def _literal_units(spark: SparkSession, sf: str) -> DataFrame:
         F.expr(
             r"""if(l_linenumber = 1, '[]', concat(
               '[{\'character_id\': \'T14_U', l_partkey % 12, '\', \'itemNames\': [\'x: None, ', l_returnflag,
-              '\', "o\'', l_linestatus, '"], \'name\': \'\', \'rarity\': ', l_partkey % 5, ', \'tier\': None}',
+              '\', "o\'', l_linestatus, '"], \'name\': \'\', \'rarity\': ', l_partkey % 5, ', \'tier\': ',
+              if(l_linenumber % 3 = 0, 'None', '2'), '}',
               if(l_linenumber = 2, '', concat(', {\'character_id\': \'T14_U', l_suppkey % 12,
                 '\', \'itemNames\': [], \'name\': None, \'rarity\': ', l_suppkey % 5, ', \'tier\': ',
                 l_linenumber % 3 + 1, '}')), ']'))"""

@@ -67,18 +67,14 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     cost = unit % 5
     rarity = F.when(cost == 3, 4).when(cost == 4, 6).otherwise(cost)
     special = F.element_at(F.array(*[F.lit(i) for i in SPECIAL_ITEMS]), (F.col("l_partkey") % 9 + 1).cast("int"))
-    items = F.array_compact(
-        F.array(
-            F.when(
-                F.col("l_tax") >= 0.04, F.concat(F.lit("T_Item_"), "l_returnflag", (F.col("l_partkey") % 4).cast("string"))
-            ),
-            F.when(F.col("l_discount") >= 0.05, special),
-            F.when(
-                F.col("l_suppkey") % 10 == 0,
-                F.concat(F.lit("T_Item_R"), (F.col("l_suppkey") % 6).cast("string"), F.lit("EmblemItem")),
-            ),
-            F.when(F.col("l_quantity") == 7, F.lit("T_Item_ThiefsGloves")),
-        )
+    craft = F.concat(F.lit("T_Item_"), "l_returnflag", (F.col("l_partkey") % 4).cast("string"))
+    emblem = F.concat(F.lit("T_Item_R"), (F.col("l_suppkey") % 6).cast("string"), F.lit("EmblemItem"))
+    none = F.array().cast("array<string>")
+    items = F.concat(
+        F.when(F.col("l_tax") >= 0.04, F.array(craft)).otherwise(none),
+        F.when(F.col("l_discount") >= 0.05, F.array(special)).otherwise(none),
+        F.when(F.col("l_suppkey") % 10 == 0, F.array(emblem)).otherwise(none),
+        F.when(F.col("l_quantity") == 7, F.array(F.lit("T_Item_ThiefsGloves"))).otherwise(none),
     )
     return table(spark, sf_dir, "lineitem").select(
         F.expr("l_orderkey div 8").alias("match_id"),
@@ -139,40 +135,48 @@ def emblem_traits(spark: SparkSession) -> DataFrame:
 
 
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as nested match records with eight participants each."""
-    return table(spark, sf_dir, "orders").select(
+    """Orders as nested match records with eight participants each.
+
+    The participants are made in a step of their own, so readers of the header alone skip them.
+    """
+    participants = F.expr(
+        """transform(sequence(0, 7), i -> named_struct(
+             'puuid', cast(o_orderkey * 8 + i as string),
+             'riotIdGameName', concat('player', o_custkey),
+             'riotIdTagline', o_orderstatus,
+             'placement', i + 1,
+             'level', cast(2 + (o_orderkey + i) % 5 as int),
+             'traits', if((o_orderkey + i) % 4 = 0, cast(array() as
+                 array<struct<name:string,num_units:int,style:int,tier_current:int,tier_total:int>>),
+               array(named_struct('name', concat('T14_R', (o_orderkey + i) % 6),
+                 'num_units', cast(1 + (o_orderkey + i) % 4 as int), 'style', 1,
+                 'tier_current', cast((o_orderkey + i) % 3 as int), 'tier_total', 2))),
+             'units', if((o_orderkey + i) % 7 = 0, cast(array() as
+                 array<struct<character_id:string,itemNames:array<string>,name:string,rarity:int,tier:int>>),
+               transform(sequence(0, cast((o_orderkey + i) % 7 as int) - 1), j -> named_struct(
+                 'character_id', concat('T14_U', (o_orderkey * (j + 1) + 5 * i + 11 * j) % 12),
+                 'itemNames', if((o_orderkey + j) % 2 = 0, array(concat('T_Item_', o_orderstatus)),
+                                 cast(array() as array<string>)),
+                 'name', '', 'rarity', cast(j % 5 as int), 'tier', 1 + j % 3))),
+             'total_damage_to_players', cast(o_orderkey % 150 as int),
+             'players_eliminated', i % 3,
+             'time_eliminated', cast(1000 + i as double),
+             'last_round', 30 + i,
+             'gold_left', cast(o_custkey % 50 as int),
+             'companion', named_struct('content_ID', concat('C', o_custkey % 9))))"""
+    )
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.select("o_orderkey", "o_orderdate", participants.alias("participants"))
+    return orders.select(
         F.expr("named_struct('match_id', concat('M', o_orderkey))").alias("metadata"),
         F.expr(
             """named_struct(
-              'queue_id', if(o_orderkey % 3 = 0, 1090, 1100),
-              'game_datetime', unix_millis(cast(o_orderdate as timestamp)),
-              'game_length', cast(1500 + o_orderkey % 300 as double),
-              'game_version', if(o_orderkey % 11 = 0, 'unknown',
-                                 concat('Linux Version 15.', 8 + o_orderkey % 4, '.672.4034 (x)')),
-              'tft_set_number', 14,
-              'participants', transform(sequence(0, 7), i -> named_struct(
-                'puuid', cast(o_orderkey * 8 + i as string),
-                'riotIdGameName', concat('player', o_custkey),
-                'riotIdTagline', o_orderstatus,
-                'placement', i + 1,
-                'level', cast(2 + (o_orderkey + i) % 5 as int),
-                'traits', if((o_orderkey + i) % 4 = 0, cast(array() as
-                    array<struct<name:string,num_units:int,style:int,tier_current:int,tier_total:int>>),
-                  array(named_struct('name', concat('T14_R', (o_orderkey + i) % 6),
-                    'num_units', cast(1 + (o_orderkey + i) % 4 as int), 'style', 1,
-                    'tier_current', cast((o_orderkey + i) % 3 as int), 'tier_total', 2))),
-                'units', if((o_orderkey + i) % 7 = 0, cast(array() as
-                    array<struct<character_id:string,itemNames:array<string>,name:string,rarity:int,tier:int>>),
-                  transform(sequence(0, cast((o_orderkey + i) % 7 as int) - 1), j -> named_struct(
-                    'character_id', concat('T14_U', (o_orderkey * (j + 1) + 5 * i + 11 * j) % 12),
-                    'itemNames', if((o_orderkey + j) % 2 = 0, array(concat('T_Item_', o_orderstatus)),
-                                    cast(array() as array<string>)),
-                    'name', '', 'rarity', cast(j % 5 as int), 'tier', 1 + j % 3))),
-                'total_damage_to_players', cast(o_orderkey % 150 as int),
-                'players_eliminated', i % 3,
-                'time_eliminated', cast(1000 + i as double),
-                'last_round', 30 + i,
-                'gold_left', cast(o_custkey % 50 as int),
-                'companion', named_struct('content_ID', concat('C', o_custkey % 9)))))"""
+                 'queue_id', if(o_orderkey % 3 = 0, 1090, 1100),
+                 'game_datetime', unix_millis(cast(o_orderdate as timestamp)),
+                 'game_length', cast(1500 + o_orderkey % 300 as double),
+                 'game_version', if(o_orderkey % 11 = 0, 'unknown',
+                                    concat('Linux Version 15.', 8 + o_orderkey % 4, '.672.4034 (x)')),
+                 'tft_set_number', 14,
+                 'participants', participants)"""
         ).alias("info"),
     )
