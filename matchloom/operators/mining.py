@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,8 @@ def frequent_comps(
     count in the support's denominator only. At most 1 / min_support sets of a group pass.
     """
     sets = comps.groupBy(*GROUP, canonical(F.col(units)).alias("itemset")).agg(F.count("*").alias("n"))
+    # Two branches read the counts, and only one of them filters; staged, the boards are read once.
+    sets = staged(sets, "sets")
     totals = sets.groupBy(*GROUP).agg(F.sum("n").alias("n_boards"))
     whole = sets.filter(F.size("itemset") == F.col("level")).join(totals, GROUP)
     kept = whole.filter(F.col("n") >= F.ceil(F.col("n_boards") * F.lit(min_support)))
@@ -57,8 +61,9 @@ def frequent_itemsets(
     runs = own.groupBy("scale").agg(F.count("*").alias("n"), F.min("n_baskets").alias("smallest")).collect()
     found = None
     for run in runs:
-        least = float(min(min_support * run["smallest"], run["smallest"])) / run["n"]
-        model = FPGrowth(itemsCol="items", minSupport=max(least, 1.0 / run["n"] / 2))
+        # Half a basket below the smallest group's threshold, so rounding cannot raise it.
+        least = max(1, math.ceil(min_support * run["smallest"])) - 0.5
+        model = FPGrowth(itemsCol="items", minSupport=least / run["n"])
         result = model.fit(own.filter(F.col("scale") == run["scale"]).select("items")).freqItemsets
         found = result if found is None else found.unionByName(result)
     if found is None:

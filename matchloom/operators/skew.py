@@ -36,10 +36,18 @@ def heavy_keys(
 
 
 def split_heavy(
-    df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fraction: float = SAMPLE
+    df: DataFrame,
+    keys: list[str],
+    hot_rows: int = HOT_ROWS,
+    fraction: float = SAMPLE,
+    seen_in: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of ordinary groups, and those of heavy groups if any."""
-    heavy = heavy_keys(df, keys, hot_rows, fraction)
+    """The rows of ordinary groups, and those of heavy groups if any.
+
+    ``seen_in`` is where to look for heavy keys if that is cheaper than ``df``: a frame with at
+    least the rows of ``df``, before a costly filter or join.
+    """
+    heavy = heavy_keys(df if seen_in is None else seen_in, keys, hot_rows, fraction)
     if heavy is None:
         return df, None
     heavy = F.broadcast(heavy)
@@ -83,10 +91,11 @@ def number_rows(
     out: str,
     hot_rows: int = HOT_ROWS,
     fraction: float = SAMPLE,
+    seen_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add the row's position within its group, from 0; an existing column ``out`` is replaced."""
     columns = [c for c in df.columns if c != out] + [out]
-    cold, hot = split_heavy(df, keys, hot_rows, fraction)
+    cold, hot = split_heavy(df, keys, hot_rows, fraction, seen_in)
     window = Window.partitionBy(*keys).orderBy(*order)
     numbered = cold.withColumn("_position", F.row_number().over(window) - 1)
     if hot is not None:

@@ -42,7 +42,7 @@ def trait_text(traits: str) -> Column:
 
 
 def players(spark: SparkSession, sf: str) -> DataFrame:
-    return frames.load_participants(sample.participants(spark, sf), sample.matches(spark, sf), ordered=False)
+    return frames.load_participants(sample.participants(spark, sf), sample.matches(spark, sf))
 
 
 # Statistics
@@ -83,12 +83,12 @@ def item_top_carriers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def load_matches_view(spark: SparkSession, sf: str) -> DataFrame:
-    return frames.load_matches(sample.matches(spark, sf))
+    return frames.load_matches(sample.matches(spark, sf), ordered=True)
 
 
 @query
 def load_participants_view(spark: SparkSession, sf: str) -> DataFrame:
-    return frames.load_participants(sample.participants(spark, sf), sample.matches(spark, sf))
+    return frames.load_participants(sample.participants(spark, sf), sample.matches(spark, sf), ordered=True)
 
 
 @query
@@ -115,8 +115,9 @@ def load_traits_view(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def board_cleanup(spark: SparkSession, sf: str) -> DataFrame:
-    boards = normalise.renumber_slots(sample.units(spark, sf), sample.SLOT_ORDER)
-    cleaned = normalise.clean_boards(boards, sample.MARKER, sample.SUMMONS)
+    units = sample.units(spark, sf)
+    boards = normalise.renumber_slots(units, sample.SLOT_ORDER)
+    cleaned = normalise.clean_boards(boards, sample.MARKER, sample.SUMMONS, seen_in=units)
     return cleaned.withColumn("items", text("items"))
 
 

@@ -11,15 +11,15 @@ from matchloom.schemas import BOARD
 
 
 def _ordered(df: DataFrame, ordered: bool, *then: str) -> DataFrame:
-    """Sorted output is for a last step; jobs that go on leave ``ordered`` off and save the shuffle."""
+    """Sort over all partitions. Only for a last step: a job that goes on would lose the order again."""
     return df.orderBy(*version_order(), *then) if ordered else df
 
 
-def load_matches(matches: DataFrame, ordered: bool = True) -> DataFrame:
+def load_matches(matches: DataFrame, ordered: bool = False) -> DataFrame:
     return _ordered(matches, ordered, "match_id")
 
 
-def load_participants(participants: DataFrame, matches: DataFrame, ordered: bool = True) -> DataFrame:
+def load_participants(participants: DataFrame, matches: DataFrame, ordered: bool = False) -> DataFrame:
     """Version, ids, placement and level of every participant of a known match."""
     version = matches.select("match_id", "game_version")
     joined = participants.select(*BOARD, "placement", "level").join(version, "match_id")
@@ -32,7 +32,7 @@ def load_units(
     units: DataFrame,
     participants: DataFrame,
     matches: DataFrame,
-    ordered: bool = True,
+    ordered: bool = False,
     summons: list[str] = SUMMONS,
     slot_order: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
@@ -45,14 +45,14 @@ def load_units(
     """
     players = load_participants(participants, matches, ordered=False).select("game_version", *BOARD)
     own = units.select(*BOARD, "character_id", "slot_idx", "rarity", "tier", "items")
-    numbered = renumber_slots(drop_summons(own, summons), slot_order, BOARD, hot_rows, fraction)
+    numbered = renumber_slots(drop_summons(own, summons), slot_order, BOARD, hot_rows, fraction, seen_in=units)
     joined = numbered.join(players, BOARD).select(
         "game_version", *BOARD, "character_id", "slot_idx", "rarity", "tier", "items"
     )
     return _ordered(joined, ordered, *BOARD, "slot_idx")
 
 
-def load_traits(traits: DataFrame, participants: DataFrame, matches: DataFrame, ordered: bool = True) -> DataFrame:
+def load_traits(traits: DataFrame, participants: DataFrame, matches: DataFrame, ordered: bool = False) -> DataFrame:
     players = load_participants(participants, matches, ordered=False).select("game_version", *BOARD)
     own = traits.select(*BOARD, "trait_id", "num_units", "current_tier", "max_tier", "trait_style")
     joined = own.join(players, BOARD).select(
