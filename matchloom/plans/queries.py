@@ -392,7 +392,7 @@ def dim_version(spark: SparkSession, sf: str) -> DataFrame:
 # Compositions
 
 
-def _comps(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
+def _comps(spark: SparkSession, sf: str) -> DataFrame:
     units = normalise.drop_summons(sample.units(spark, sf), sample.SUMMONS)
     return comps.build_comps(
         players(spark, sf),
@@ -401,7 +401,6 @@ def _comps(spark: SparkSession, sf: str, ordered: bool = False) -> DataFrame:
         sample.trait_tiers(spark),
         sample.emblem_traits(spark),
         max_level=sample.MAX_LEVEL,
-        ordered=ordered,
     )
 
 
@@ -410,7 +409,7 @@ LISTS = ["combine_units", "combine_full_units", "combine_active_traits", "combin
 
 @query
 def build_comps(spark: SparkSession, sf: str) -> DataFrame:
-    return _comps(spark, sf, ordered=True).withColumns({c: text(c) for c in LISTS})
+    return _comps(spark, sf).withColumns({c: text(c) for c in LISTS})
 
 
 @query
