@@ -161,6 +161,28 @@ def clean_boards(
     return cleaned.unionByName(_without_removed(marked, columns))
 
 
+def clean_unit_lists(
+    participants: DataFrame, marker: str = MARKER, summons: list[str] = SUMMONS, units: str = "units"
+) -> DataFrame:
+    """``clean_boards`` for participants that still hold their units as one list: no shuffle at all."""
+    column = F.col(units)
+
+    def place(condition) -> Column:
+        return F.transform(column, lambda u, i: F.when(condition(u, i), i))
+
+    def follows(u: Column, i: Column) -> Column:
+        return (i > F.col("_last")) & ~F.coalesce(u["character_id"].isin(summons), F.lit(False))
+
+    marked = participants.withColumn("_markers", place(lambda u, i: u["character_id"] == marker))
+    marked = marked.withColumn("_last", F.array_max("_markers"))
+    marked = marked.withColumn("_copied", F.when(F.col("_last").isNotNull(), F.array_min(place(follows))))
+    single = F.size(F.get(column, F.col("_last"))["itemNames"]) == 1
+    spare = F.when((F.size(F.array_compact("_markers")) >= 2) & single, F.col("_last"))
+    marked = marked.withColumn("_gone", F.coalesce("_copied", spare))
+    kept = F.when(F.col("_gone").isNull(), column).otherwise(F.filter(column, lambda u, i: i != F.col("_gone")))
+    return marked.withColumn(units, kept).drop("_markers", "_last", "_copied", "_gone")
+
+
 def renumber_slots(
     units: DataFrame,
     order: list[str] | None = None,

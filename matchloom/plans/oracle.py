@@ -348,6 +348,29 @@ UNION ALL
 SELECT match_id, puuid, 'TFT_NoneUnit', 0, -1, -1, '' FROM raw_people WHERE (o_orderkey + i) % 7 = 0"""
 )
 
+SQL["board_cleanup_lists"] = (
+    with_(
+        "raw_people",
+        "raw_units",
+        then=f"""
+  last_marker AS (
+    SELECT puuid, max(j) AS last, count(*) AS markers, arg_max(CAST((o_orderkey + j) % 2 = 0 AS INTEGER), j) AS n_items
+    FROM raw_units WHERE unit = '{MARKER}' GROUP BY ALL),
+  following AS (
+    SELECT u.puuid, min(j) AS slot FROM raw_units u JOIN last_marker l ON u.puuid = l.puuid
+    WHERE j > last AND unit NOT IN ({quoted(SUMMONS)}) GROUP BY ALL),
+  gone AS (
+    SELECT l.puuid, coalesce(f.slot, CASE WHEN markers >= 2 AND n_items = 1 THEN last END) AS slot
+    FROM last_marker l LEFT JOIN following f ON l.puuid = f.puuid)""",
+    )
+    + """SELECT match_id, u.puuid, unit AS character_id,
+       CAST(row_number() OVER (PARTITION BY u.puuid ORDER BY j) - 1 AS INTEGER) AS slot_idx,
+       j % 5 AS rarity, 1 + j % 3 AS tier, CASE WHEN (o_orderkey + j) % 2 = 0 THEN 'T_Item_' || o_orderstatus ELSE '' END AS items
+FROM raw_units u LEFT JOIN gone g ON u.puuid = g.puuid WHERE g.slot IS NULL OR g.slot <> j
+UNION ALL
+SELECT match_id, puuid, 'TFT_NoneUnit', 0, -1, -1, '' FROM raw_people WHERE (o_orderkey + i) % 7 = 0"""
+)
+
 SQL["pk_violations"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1"""
 SQL["orphan_rows"] = """

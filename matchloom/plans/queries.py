@@ -219,6 +219,14 @@ def explode_traits(spark: SparkSession, sf: str) -> DataFrame:
     return normalise.trait_rows(acquire.match_participants(sample.raw_matches(spark, sf)))
 
 
+@query
+def board_cleanup_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean-up on lists, before they are exploded."""
+    people = acquire.match_participants(sample.raw_matches(spark, sf))
+    cleaned = normalise.clean_unit_lists(people, sample.MARKER, sample.SUMMONS)
+    return normalise.unit_rows(cleaned).withColumn("items", text("items"))
+
+
 @query
 def explode_units(spark: SparkSession, sf: str) -> DataFrame:
     rows = normalise.unit_rows(acquire.match_participants(sample.raw_matches(spark, sf)))

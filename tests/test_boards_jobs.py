@@ -70,6 +70,19 @@ def test_clean_boards(spark, hot_rows):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_clean_unit_lists(spark):
+    from pyspark.sql import types as T
+
+    rnd = random.Random(4)
+    boards = EDGE + [[(rnd.choice([M, S, A, B]), rnd.randint(0, 2)) for _ in range(rnd.randint(1, 9))] for _ in range(300)]
+    rows = [("m", str(i), [(c, ["i"] * n, "", 1, 1) for c, n in b]) for i, b in enumerate(boards)] + [("m", "none", None)]
+    fields = [T.StructField(n, T.StringType()) for n in ("match_id", "puuid")]
+    people = spark.createDataFrame(rows, T.StructType([*fields, T.StructField("units", UNIT_LIST)]))
+    got = result_of(normalise.unit_rows(normalise.clean_unit_lists(people, M, [S])))
+    assert got.pop("none") == [(normalise.NO_UNIT, 0)]
+    assert got == {str(i): cleaned_by_hand(b) for i, b in enumerate(boards)}
+
+
 @pytest.mark.parametrize("hot_rows", [10**9, 50, 1])
 def test_number_rows_with_heavy_groups(spark, hot_rows):
     rnd = random.Random(2)
