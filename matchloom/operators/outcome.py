@@ -1,8 +1,9 @@
 """Outcome statistics of units, item builds, traits and items.
 
 All statistics come from one mergeable tally per key (rows, placed rows, sum of placements, wins and
-top-four finishes). A job tallies the facts once at its finest key and rolls the small result up, so
-the facts are joined and shuffled once whatever the number of outputs.
+top-four finishes). A job tallies the facts once at its finest key and rolls the small result up.
+Where several branches roll it up, the tally is staged: each branch filters differently, and Spark
+would push those filters below the tally and read and join the facts once per branch.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from matchloom.functions.boards import EMBLEM, item_build
 from matchloom.functions.scalars import half_even, version_order
 from matchloom.operators.skew import largest_per_group
 from matchloom.schemas import BOARD
+from matchloom.session import staged
 
 PLAYERS = 8
 MIN_BUILDS = 10
@@ -177,7 +179,7 @@ def unit_stats(players: DataFrame, units: DataFrame) -> DataFrame:
 def item_build_stats(players: DataFrame, units: DataFrame, min_count: int = MIN_BUILDS) -> DataFrame:
     """Share, mean placement and difference to the unit's own mean for every item build of a unit."""
     valid = _valid_units(units).withColumn("item_build", item_build(F.col("items")))
-    builds = tally(placed(valid, players), [*UNIT, "item_build"])
+    builds = staged(tally(placed(valid, players), [*UNIT, "item_build"]), "builds")
     overall = _unit_overall(builds).select(
         *UNIT, F.col("n_placed").alias("unit_placed"), F.col("avg_place").alias("unit_place")
     )
@@ -204,7 +206,7 @@ def trait_stats(players: DataFrame, traits: DataFrame, trait_tiers: DataFrame) -
     valid = traits.filter((F.col("current_tier") > 0) & (F.col("max_tier") > 0))
     totals = match_totals(valid, players)
     tier = ["game_version", "trait_id", "current_tier"]
-    finest = tally(placed(valid, players), [*tier, "trait_style", "max_tier"])
+    finest = staged(tally(placed(valid, players), [*tier, "trait_style", "max_tier"]), "traits")
     spans = finest.select(*tier, "max_tier").distinct()
     needs = trait_tiers.select("trait_id", F.col("tier").alias("current_tier"), "min_units")
     spans = spans.join(needs, ["trait_id", "current_tier"], "left").withColumn(
@@ -251,7 +253,8 @@ ITEM = ["game_version", "items"]
 def _item_tallies(players: DataFrame, units: DataFrame) -> DataFrame:
     """One tally per version, unit and item list: all that the item statistics are made of."""
     facts = placed(units, players).withColumn("items", F.sort_array("items"))
-    return facts.filter(F.col("game_version").isNotNull()).groupBy(*UNIT, "items").agg(*_counts())
+    tallies = facts.filter(F.col("game_version").isNotNull()).groupBy(*UNIT, "items").agg(*_counts())
+    return staged(tallies, "items")
 
 
 def _per_item(lists: DataFrame, keys: list[str]) -> DataFrame:
