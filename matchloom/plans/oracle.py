@@ -518,7 +518,7 @@ def comps_with(*then: str) -> str:
     return with_("players", "units", "traits", then=",".join([COMPS, *then]))
 
 
-SQL["build_comps"] = (
+SQL["comps"] = (
     comps_with()
     + f"""SELECT game_version, match_id, puuid, placement, level, {text("combine_units")} AS combine_units,
        {text("combine_full_units")} AS combine_full_units, {text("combine_active_traits")} AS combine_active_traits,
@@ -746,7 +746,7 @@ SQL["top_traits_by_style"] = (
   SELECT *, CAST(row_number() OVER (PARTITION BY game_version, trait_style
     ORDER BY play_rate DESC, trait_id, current_tier, max_tier) AS INTEGER) AS rank FROM stats) WHERE rank <= 5"""
 )
-SQL["trait_flags"] = (
+SQL["flags"] = (
     with_("traits", "players", then=TRAIT_STATS)
     + "SELECT *, play_rate > 1 AS overpowered, avg_place < 4.5 AS better FROM stats"
 )

@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.functions.boards import id_prefix, normalise_tiers, unit_tiers, without_tier
+from matchloom.functions.literals import parse_failed, parse_literal
 from matchloom.functions.scalars import half_even
 from matchloom.operators import acquire, comps, evolution, mining, normalise, outcome, quality, report
-from matchloom.operators.containment import canonical
 from matchloom.schemas import BOARD, UNIT_LIST
-from matchloom.functions.literals import parse_failed, parse_literal
 from matchloom.session import shared_path, staged
 from matchloom.sources import dims, frames, landed, sample, tables
 from matchloom.streaming import landing
@@ -28,7 +27,7 @@ REPORT_LEVELS = (4, 5, 6)
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -163,7 +162,7 @@ def parse_failures(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def epoch_and_version_extract(spark: SparkSession, sf: str) -> DataFrame:
-    headers = acquire.match_headers(sample.raw_matches(spark, sf))
+    headers = acquire.match_headers(sample.raw_matches(spark, sf, header_only=True))
     return normalise.match_table(headers)
 
 
@@ -199,13 +198,13 @@ def dedup_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def queue_filter(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = acquire.of_queue(sample.raw_matches(spark, sf))
+    ranked = acquire.of_queue(sample.raw_matches(spark, sf, header_only=True))
     return acquire.match_headers(ranked).select("match_id", "game_datetime", "game_version")
 
 
 @query
 def flatten_match(spark: SparkSession, sf: str) -> DataFrame:
-    return acquire.match_headers(sample.raw_matches(spark, sf))
+    return acquire.match_headers(sample.raw_matches(spark, sf, header_only=True))
 
 
 @query
@@ -216,20 +215,20 @@ def flatten_participants(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def explode_traits(spark: SparkSession, sf: str) -> DataFrame:
-    return normalise.trait_rows(acquire.match_participants(sample.raw_matches(spark, sf)))
+    return normalise.trait_rows(sample.raw_boards(spark, sf))
 
 
 @query
 def board_cleanup_lists(spark: SparkSession, sf: str) -> DataFrame:
     """The clean-up on lists, before they are exploded."""
-    people = acquire.match_participants(sample.raw_matches(spark, sf))
+    people = sample.raw_boards(spark, sf)
     cleaned = normalise.clean_unit_lists(people, sample.MARKER, sample.SUMMONS)
     return normalise.unit_rows(cleaned).withColumn("items", text("items"))
 
 
 @query
 def explode_units(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalise.unit_rows(acquire.match_participants(sample.raw_matches(spark, sf)))
+    rows = normalise.unit_rows(sample.raw_boards(spark, sf))
     return rows.withColumn("items", text("items"))
 
 
@@ -326,7 +325,7 @@ def load_landed_days(spark: SparkSession, sf: str) -> DataFrame:
     raw = acquire.of_queue(sample.raw_matches(spark, sf))
     year = F.trunc(F.timestamp_millis(F.col("info.game_datetime")), "year")
     dated = raw.withColumn("run_date", year)
-    headers = acquire.match_headers(raw)
+    headers = acquire.match_headers(acquire.of_queue(sample.raw_matches(spark, sf, header_only=True)))
     headers = headers.withColumn("run_date", F.trunc(F.timestamp_millis(F.col("game_datetime")), "year"))
     landed_root, table_root = shared_path(spark, "landed"), shared_path(spark, "tables")
     landed.write_landed(acquire.match_participants(dated, ["run_date"]), landed_root, "participants")
@@ -416,7 +415,7 @@ LISTS = ["combine_units", "combine_full_units", "combine_active_traits", "combin
 
 
 @query
-def build_comps(spark: SparkSession, sf: str) -> DataFrame:
+def comps_(spark: SparkSession, sf: str) -> DataFrame:
     return _comps(spark, sf).withColumns({c: text(c) for c in LISTS})
 
 
@@ -545,7 +544,7 @@ def top_traits_by_style(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def trait_flags(spark: SparkSession, sf: str) -> DataFrame:
+def flags(spark: SparkSession, sf: str) -> DataFrame:
     return report.with_flags(_trait_stats(spark, sf))
 
 

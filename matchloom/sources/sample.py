@@ -134,49 +134,62 @@ def emblem_traits(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "item_id string, trait_id string")
 
 
-def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Participant ``i`` (0 to 7) of the match that stands for an order, field by field.
+_TRAITS = """if((o_orderkey + i) % 4 = 0,
+  cast(array() as array<struct<name:string,num_units:int,style:int,tier_current:int,tier_total:int>>),
+  array(named_struct('name', concat('T14_R', (o_orderkey + i) % 6),
+    'num_units', cast(1 + (o_orderkey + i) % 4 as int), 'style', 1,
+    'tier_current', cast((o_orderkey + i) % 3 as int), 'tier_total', 2)))"""
+_UNITS = """if((o_orderkey + i) % 7 = 0,
+  cast(array() as array<struct<character_id:string,itemNames:array<string>,name:string,rarity:int,tier:int>>),
+  transform(sequence(0, cast((o_orderkey + i) % 7 as int) - 1), j -> named_struct(
+    'character_id', concat('T14_U', (o_orderkey * (j + 1) + 5 * i + 11 * j) % 12),
+    'itemNames', if((o_orderkey + j) % 2 = 0, array(concat('T_Item_', o_orderstatus)), cast(array() as array<string>)),
+    'name', '', 'rarity', cast(j % 5 as int), 'tier', 1 + j % 3)))"""
+_PARTICIPANT = {
+    "puuid": "cast(o_orderkey * 8 + i as string)",
+    "riotIdGameName": "concat('player', o_custkey)",
+    "riotIdTagline": "o_orderstatus",
+    "placement": "i + 1",
+    "level": "cast(2 + (o_orderkey + i) % 5 as int)",
+    "traits": _TRAITS,
+    "units": _UNITS,
+    "total_damage_to_players": "cast(o_orderkey % 150 as int)",
+    "players_eliminated": "i % 3",
+    "time_eliminated": "cast(1000 + i as double)",
+    "last_round": "30 + i",
+    "gold_left": "cast(o_custkey % 50 as int)",
+    "companion": "named_struct('content_ID', concat('C', o_custkey % 9))",
+}
+
+
+def raw_matches(spark: SparkSession, sf_dir: str, header_only: bool = False) -> DataFrame:
     """Orders as nested match records with eight participants each.
 
-    The participants are made in a step of their own, so readers of the header alone skip them.
+    With ``header_only`` they look as to a reader whose schema leaves the participants out.
     """
-    participants = F.expr(
-        """transform(sequence(0, 7), i -> named_struct(
-             'puuid', cast(o_orderkey * 8 + i as string),
-             'riotIdGameName', concat('player', o_custkey),
-             'riotIdTagline', o_orderstatus,
-             'placement', i + 1,
-             'level', cast(2 + (o_orderkey + i) % 5 as int),
-             'traits', if((o_orderkey + i) % 4 = 0, cast(array() as
-                 array<struct<name:string,num_units:int,style:int,tier_current:int,tier_total:int>>),
-               array(named_struct('name', concat('T14_R', (o_orderkey + i) % 6),
-                 'num_units', cast(1 + (o_orderkey + i) % 4 as int), 'style', 1,
-                 'tier_current', cast((o_orderkey + i) % 3 as int), 'tier_total', 2))),
-             'units', if((o_orderkey + i) % 7 = 0, cast(array() as
-                 array<struct<character_id:string,itemNames:array<string>,name:string,rarity:int,tier:int>>),
-               transform(sequence(0, cast((o_orderkey + i) % 7 as int) - 1), j -> named_struct(
-                 'character_id', concat('T14_U', (o_orderkey * (j + 1) + 5 * i + 11 * j) % 12),
-                 'itemNames', if((o_orderkey + j) % 2 = 0, array(concat('T_Item_', o_orderstatus)),
-                                 cast(array() as array<string>)),
-                 'name', '', 'rarity', cast(j % 5 as int), 'tier', 1 + j % 3))),
-             'total_damage_to_players', cast(o_orderkey % 150 as int),
-             'players_eliminated', i % 3,
-             'time_eliminated', cast(1000 + i as double),
-             'last_round', 30 + i,
-             'gold_left', cast(o_custkey % 50 as int),
-             'companion', named_struct('content_ID', concat('C', o_custkey % 9))))"""
-    )
-    orders = table(spark, sf_dir, "orders")
-    orders = orders.select("o_orderkey", "o_orderdate", participants.alias("participants"))
-    return orders.select(
+    fields = {
+        "queue_id": "if(o_orderkey % 3 = 0, 1090, 1100)",
+        "game_datetime": "unix_millis(cast(o_orderdate as timestamp))",
+        "game_length": "cast(1500 + o_orderkey % 300 as double)",
+        "game_version": """if(o_orderkey % 11 = 0, 'unknown',
+                              concat('Linux Version 15.', 8 + o_orderkey % 4, '.672.4034 (x)'))""",
+        "tft_set_number": "14",
+    }
+    if not header_only:
+        people = ", ".join(f"'{name}', {value}" for name, value in _PARTICIPANT.items())
+        fields["participants"] = f"transform(sequence(0, 7), i -> named_struct({people}))"
+    info = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return table(spark, sf_dir, "orders").select(
         F.expr("named_struct('match_id', concat('M', o_orderkey))").alias("metadata"),
-        F.expr(
-            """named_struct(
-                 'queue_id', if(o_orderkey % 3 = 0, 1090, 1100),
-                 'game_datetime', unix_millis(cast(o_orderdate as timestamp)),
-                 'game_length', cast(1500 + o_orderkey % 300 as double),
-                 'game_version', if(o_orderkey % 11 = 0, 'unknown',
-                                    concat('Linux Version 15.', 8 + o_orderkey % 4, '.672.4034 (x)')),
-                 'tft_set_number', 14,
-                 'participants', participants)"""
-        ).alias("info"),
+        F.expr(f"named_struct({info})").alias("info"),
+    )
+
+
+def raw_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and lists of the same participants, one row each."""
+    rows = table(spark, sf_dir, "orders").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    return rows.select(
+        F.expr("concat('M', o_orderkey)").alias("match_id"),
+        *[F.expr(_PARTICIPANT[name]).alias(name) for name in ("puuid", "traits", "units")],
     )

@@ -27,7 +27,7 @@ PLAIN = [
     "seed_topup",
     "per_key_cap",
     "orphan_rows",
-    "build_comps",
+    "comps",
     "legal_comps_by_units",
     "active_traits",
     "unit_list_projections",
@@ -73,7 +73,7 @@ def test_unit_statistics_read_three_columns(spark):
 
 
 def test_caps_apply_before_the_shuffle(spark, no_broadcast):
-    for name in ("per_key_cap", "build_comps"):
+    for name in ("per_key_cap", "comps"):
         text = plan(queries()[name](spark, SF_DIR))
         tree = text[: text.index("(1) ")] if "\n(1) Scan" not in text else text[: text.index("\n(1) Scan")]
         lines = [line for line in tree.splitlines() if "WindowGroupLimit" in line or "Exchange" in line]
