@@ -433,7 +433,7 @@ SQL["dim_trait_tiers"] = (
         "traits",
         then="""
   last_part AS (SELECT p_partkey % 7 AS r, arg_max(p_size, p_partkey) AS p_size, max(p_partkey) AS k FROM part GROUP BY ALL),
-  names AS (SELECT 'T14_R' || CAST(s_suppkey % 5 AS VARCHAR) AS trait_id, max(s_name) AS name FROM supplier GROUP BY ALL),
+  names AS (SELECT 'T14_R' || CAST(s_suppkey % 5 AS VARCHAR) AS trait_id, arg_max(s_name, s_suppkey) AS name FROM supplier GROUP BY ALL),
   tiers AS (
     SELECT 'T14_R' || CAST(r AS VARCHAR) AS trait_id, CAST(i AS INTEGER) AS tier,
            CAST(i * (1 + p_size % 4) AS INTEGER) AS min_units
@@ -450,7 +450,7 @@ SQL["dim_unit_traits"] = (
   last_part AS (
     SELECT 'T14_U' || CAST(p_partkey % 14 AS VARCHAR) AS character_id, arg_max(p_brand, p_partkey) AS p_brand
     FROM part GROUP BY ALL),
-  names AS (SELECT 'T14_U' || CAST(p_partkey % 10 AS VARCHAR) AS character_id, max(p_name) AS name FROM part GROUP BY ALL)""",
+  names AS (SELECT 'T14_U' || CAST(p_partkey % 10 AS VARCHAR) AS character_id, arg_max(p_name, p_partkey) AS name FROM part GROUP BY ALL)""",
     )
     + """SELECT l.character_id, n.name, coalesce(b.trait_id, 'null') || ',null' AS traits
 FROM last_part l LEFT JOIN names n ON l.character_id = n.character_id

@@ -361,14 +361,16 @@ def _trait_names(spark: SparkSession, sf: str) -> DataFrame:
     brands = sample.table(spark, sf, "part").select("p_brand").distinct()
     number = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
     return brands.filter(number % 2 == 0).select(
-        F.concat(F.lit("T14_"), "p_brand").alias("id"), F.col("p_brand").alias("name")
+        number.alias("position"), F.concat(F.lit("T14_"), "p_brand").alias("id"), F.col("p_brand").alias("name")
     )
 
 
 @query
 def dim_trait_tiers(spark: SparkSession, sf: str) -> DataFrame:
     names = sample.table(spark, sf, "supplier").select(
-        F.concat(F.lit("T14_R"), (F.col("s_suppkey") % 5).cast("string")).alias("id"), F.col("s_name").alias("name")
+        F.col("s_suppkey").alias("position"),
+        F.concat(F.lit("T14_R"), (F.col("s_suppkey") % 5).cast("string")).alias("id"),
+        F.col("s_name").alias("name"),
     )
     return dims.trait_dimension(_sets(spark, sf), sample.traits(spark, sf), names)
 
@@ -376,7 +378,9 @@ def dim_trait_tiers(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dim_unit_traits(spark: SparkSession, sf: str) -> DataFrame:
     names = sample.table(spark, sf, "part").select(
-        F.concat(F.lit("T14_U"), (F.col("p_partkey") % 10).cast("string")).alias("id"), F.col("p_name").alias("name")
+        F.col("p_partkey").alias("position"),
+        F.concat(F.lit("T14_U"), (F.col("p_partkey") % 10).cast("string")).alias("id"),
+        F.col("p_name").alias("name"),
     )
     found = dims.unit_dimension(_sets(spark, sf), sample.units(spark, sf), names, _trait_names(spark, sf))
     return found.withColumn("traits", text("traits"))

@@ -20,9 +20,10 @@ def read_sets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
-    """id and name of every entry of a name document."""
+    """position, id and name of every entry of a name document."""
     document = spark.read.schema(NAME_DOCUMENT).option("multiLine", "true").json(path)
-    return document.select(F.explode("data").alias("key", "entry")).select("entry.id", "entry.name")
+    entries = document.select(F.posexplode("data").alias("position", "key", "entry"))
+    return entries.select("position", "entry.id", "entry.name")
 
 
 def of_facts(names: DataFrame, facts: DataFrame, key: str) -> DataFrame:
@@ -31,6 +32,11 @@ def of_facts(names: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     return names.join(used, "id", "left_semi")
 
 
+def _ids_by_name(names: DataFrame) -> DataFrame:
+    """The id of every name; one shared by several ids stands for the last of them."""
+    return names.groupBy(F.col("name").alias("trait_name")).agg(F.max_by("id", "position").alias("trait_id"))
+
+
 def unit_dimension(sets: DataFrame, units: DataFrame, unit_names: DataFrame, trait_names: DataFrame) -> DataFrame:
     """character_id, name and trait ids of every unit in the facts.
 
@@ -44,13 +50,12 @@ def unit_dimension(sets: DataFrame, units: DataFrame, unit_names: DataFrame, tra
         .agg(F.max_by("c.traits", F.struct("set_position", "pos")).alias("trait_names"))
         .join(used, "character_id", "left_semi")
     )
-    # A name shared by several ids stands for the last one.
-    ids = trait_names.groupBy(F.col("name").alias("trait_name")).agg(F.max("id").alias("trait_id"))
+    ids = _ids_by_name(trait_names)
     listed = last.select("character_id", F.posexplode_outer("trait_names").alias("pos", "trait_name"))
     listed = listed.join(ids, "trait_name", "left")
     slots = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "trait_id"))))
     units_listed = listed.groupBy("character_id").agg(slots.alias("slots"))
-    names = unit_names.groupBy(F.col("id").alias("character_id")).agg(F.max("name").alias("name"))
+    names = unit_names.groupBy(F.col("id").alias("character_id")).agg(F.max_by("name", "position").alias("name"))
     return units_listed.join(names, "character_id", "left").select(
         "character_id", "name", F.col("slots.trait_id").alias("traits")
     )
@@ -65,7 +70,7 @@ def trait_dimension(sets: DataFrame, traits: DataFrame, trait_names: DataFrame)
         .agg(F.max_by("t.effects", F.struct("set_position", "pos")).alias("effects"))
         .join(used, "trait_id", "left_semi")
     )
-    names = trait_names.groupBy(F.col("id").alias("trait_id")).agg(F.max("name").alias("name"))
+    names = trait_names.groupBy(F.col("id").alias("trait_id")).agg(F.max_by("name", "position").alias("name"))
     tiers = last.select("trait_id", F.posexplode("effects").alias("pos", "effect"))
     return tiers.join(names, "trait_id", "left").select(
         "trait_id", "name", (F.col("pos") + 1).alias("tier"), F.col("effect.minUnits").alias("min_units")
@@ -74,7 +79,7 @@ def trait_dimension(sets: DataFrame, traits: DataFrame, trait_names: DataFrame)
 
 def emblem_dimension(items: DataFrame, trait_names: DataFrame) -> DataFrame:
     """item_id and trait_id of every emblem; the trait is found by the emblem's display name."""
-    ids = trait_names.groupBy(F.col("name").alias("trait_name")).agg(F.max("id").alias("trait_id"))
+    ids = _ids_by_name(trait_names)
     emblems = items.filter(F.col("id").contains("Emblem")).select(
         F.col("id").alias("item_id"), F.nullif(F.regexp_extract("name", EMBLEM_NAME, 1), F.lit("")).alias("trait_name")
     )

@@ -166,7 +166,7 @@ def test_reference_documents(spark, tmp_path):
     traits = spark.createDataFrame([("T",)], "trait_id string")
     known = dims.of_facts(trait_names, traits, "trait_id")
     units = spark.createDataFrame([("A",), ("B",), ("A",)], "character_id string")
-    unit_names = spark.createDataFrame([("A", "Ay")], "id string, name string")
+    unit_names = spark.createDataFrame([(0, "A", "Old"), (1, "A", "Ay")], "position int, id string, name string")
     found = {r.character_id: (r.name, r.traits) for r in dims.unit_dimension(read, units, unit_names, known).collect()}
     assert found == {"A": ("Ay", ["T", None]), "B": (None, [])}
     tiers = sorted(tuple(r) for r in dims.trait_dimension(read, traits, known).collect())
