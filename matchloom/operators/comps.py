@@ -19,16 +19,36 @@ def is_small(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _few_rows(dimension: DataFrame, *columns: str) -> list | None:
+    """The rows of a dimension of at most ``MAX_LOOKUP`` rows; None if it is longer."""
+    found = dimension.na.drop(subset=columns[0]).select(*columns).limit(MAX_LOOKUP + 1).collect()
+    return found if len(found) <= MAX_LOOKUP else None
+
+
+def _constant(values: dict, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), f"map<string,{kind}>")
+
+
 def lookup(dimension: DataFrame, key: str, value: str) -> Column | None:
-    """A dimension of at most ``MAX_LOOKUP`` rows as a constant map; None if it is longer.
+    """A short dimension as a constant map; None if it is long.
 
     A constant needs no join, so facts are not moved to where a popular id is looked up.
     """
-    found = dimension.filter(F.col(key).isNotNull()).select(key, value).limit(MAX_LOOKUP + 1).collect()
-    if len(found) > MAX_LOOKUP:
+    found = _few_rows(dimension, key, value)
+    if found is None:
         return None
-    kind = dimension.schema[value].dataType.simpleString()
-    return F.from_json(F.lit(json.dumps({r[0]: r[1] for r in found})), f"map<string,{kind}>")
+    return _constant({r[0]: r[1] for r in found}, dimension.schema[value].dataType.simpleString())
+
+
+def needs_lookup(trait_tiers: DataFrame) -> Column | None:
+    """``thresholds`` as a constant map; None if there are too many tiers for that."""
+    found = _few_rows(trait_tiers, "trait_id", "tier", "min_units")
+    if found is None:
+        return None
+    needs: dict[str, list[int]] = {}
+    for r in sorted(found, key=lambda r: r["tier"]):
+        needs.setdefault(r["trait_id"], []).append(r["min_units"])
+    return _constant(needs, "array<int>")
 
 
 def thresholds(trait_tiers: DataFrame) -> DataFrame:
@@ -41,6 +61,12 @@ def thresholds(trait_tiers: DataFrame) -> DataFrame:
     )
 
 
+def trait_lookups(unit_traits: DataFrame, trait_tiers: DataFrame) -> tuple[Column, Column] | None:
+    """Traits of units and needs of traits as constant maps; None if either dimension is long."""
+    traits_of, needs_of = lookup(unit_traits, "character_id", "traits"), needs_lookup(trait_tiers)
+    return None if traits_of is None or needs_of is None else (traits_of, needs_of)
+
+
 def off_threshold(count: Column, needs: Column) -> Column:
     """True for a count of two or more that is no tier's exact need; an unknown trait has no tiers."""
     return (count >= 2) & ~F.coalesce(F.array_contains(needs, count), F.lit(False))
@@ -90,13 +116,12 @@ def _trait_lists(traits: DataFrame, trait_tiers: DataFrame) -> DataFrame:
     A board has one row per trait (the table's key, see ``key_violations``), so the lists are no
     longer than the list of traits.
     """
-    needs = thresholds(trait_tiers)
-    needs_of = lookup(needs, "trait_id", "needs")
+    needs_of = needs_lookup(trait_tiers)
     valid = traits.filter(F.col("max_tier") > 0).select(*BOARD, "trait_id", "num_units", "current_tier")
     if needs_of is not None:
         valid = valid.withColumn("needs", needs_of[F.col("trait_id")])
     else:
-        valid = valid.join(needs, "trait_id", "left")
+        valid = valid.join(thresholds(trait_tiers), "trait_id", "left")
     active = F.col("current_tier") > 0
     text = joined_key(F.col("trait_id"), F.col("num_units"), F.col("current_tier"))
     grouped = valid.groupBy(*BOARD).agg(
@@ -181,13 +206,13 @@ def _joined_trait_counts(
 
 def illegal_traits(df: DataFrame, units: str, unit_traits: DataFrame, trait_tiers: DataFrame) -> DataFrame:
     """Add ``n_illegal``: traits of a unit list whose count is two or more but not an exact tier need."""
-    needs = thresholds(trait_tiers)
-    traits_of, needs_of = lookup(unit_traits, "character_id", "traits"), lookup(needs, "trait_id", "needs")
-    if traits_of is not None and needs_of is not None:
+    known = trait_lookups(unit_traits, trait_tiers)
+    if known:
+        traits_of, needs_of = known
         counts = _unit_trait_counts(F.col(units), traits_of, None)
         illegal = F.filter(counts, lambda c: off_threshold(c["n"], needs_of[c["trait_id"]]))
         return df.withColumn("n_illegal", F.size(illegal))
-    counted = _joined_trait_counts(df, units, unit_traits, needs, None)
+    counted = _joined_trait_counts(df, units, unit_traits, thresholds(trait_tiers), None)
     off = counted.groupBy(units).agg(F.count(F.when(off_threshold(F.col("n"), F.col("needs")), 1)).alias("n_illegal"))
     joined = df.join(off, units, "left")
     return joined.withColumn("n_illegal", F.coalesce(F.col("n_illegal"), F.lit(0)).cast("int"))
@@ -203,7 +228,6 @@ def legal_by_units(
 
 def legal_by_traits(df: DataFrame, traits: str, trait_tiers: DataFrame, ignore_threshold: int = 1) -> DataFrame:
     """Add ``is_legal`` to rows with a trait list; a trait listed twice counts with its last entry."""
-    needs = thresholds(trait_tiers)
     column = F.col(traits)
     later = F.transform(
         column,
@@ -214,11 +238,12 @@ def legal_by_traits(df: DataFrame, traits: str, trait_tiers: DataFrame, ignore_t
         ),
     )
     last = F.filter(later, lambda s: ~s["again"])
-    needs_of = lookup(needs, "trait_id", "needs")
+    needs_of = needs_lookup(trait_tiers)
     if needs_of is not None:
         illegal = F.size(F.filter(last, lambda s: off_threshold(s["n"], needs_of[s["trait_id"]])))
         return df.withColumn("is_legal", illegal <= ignore_threshold)
-    rows = df.select(traits).distinct().select(traits, F.inline(last)).join(needs, "trait_id", "left")
+    rows = df.select(traits).distinct().select(traits, F.inline(last))
+    rows = rows.join(thresholds(trait_tiers), "trait_id", "left")
     off = rows.groupBy(traits).agg(F.count(F.when(off_threshold(F.col("n"), F.col("needs")), 1)).alias("_off"))
     joined = df.join(off, traits, "left")
     return joined.withColumn("is_legal", F.coalesce(F.col("_off"), F.lit(0)) <= ignore_threshold).drop("_off")
@@ -231,24 +256,26 @@ def active_traits(
     trait_tiers: DataFrame,
     bonus: str | None = None,
     out: str = "active_traits",
+    known: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Add the traits a unit list activates as (trait_id, n), largest count first, then by id.
 
     ``bonus`` names a column of extra traits, each adding one. A trait below its first tier is left
-    out, as is one without tiers. A NULL list gives NULL.
+    out, as is one without tiers. A NULL list gives NULL. ``known`` saves looking the dimensions up
+    again.
     """
-    needs = thresholds(trait_tiers)
 
     def in_order(counts: Column) -> Column:
         ranked = F.transform(counts, lambda c: F.struct((-c["n"]).alias("less"), c["trait_id"].alias("trait_id"), c["n"].alias("n")))
         return F.transform(F.array_sort(ranked), lambda r: F.struct(r["trait_id"].alias("trait_id"), r["n"].alias("n")))
 
-    traits_of, needs_of = lookup(unit_traits, "character_id", "traits"), lookup(needs, "trait_id", "needs")
-    if traits_of is not None and needs_of is not None:
+    known = known or trait_lookups(unit_traits, trait_tiers)
+    if known:
+        traits_of, needs_of = known
         counts = _unit_trait_counts(F.col(units), traits_of, F.col(bonus) if bonus else None)
         reached = F.filter(counts, lambda c: c["n"] >= F.get(needs_of[c["trait_id"]], F.lit(0)))
         return df.withColumn(out, in_order(reached))
-    counted = _joined_trait_counts(df, units, unit_traits, needs, bonus)
+    counted = _joined_trait_counts(df, units, unit_traits, thresholds(trait_tiers), bonus)
     counted = counted.filter(F.col("n") >= F.get("needs", F.lit(0)))
     keys = [units] + ([bonus] if bonus else [])
     found = counted.groupBy(*keys).agg(F.collect_list(F.struct("trait_id", "n")).alias("_found"))

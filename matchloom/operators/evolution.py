@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.boards import contains_all, normalise_tiers, without_tier
 from matchloom.functions.scalars import half_even, version_order
-from matchloom.operators.comps import active_traits
+from matchloom.operators.comps import active_traits, trait_lookups
 from matchloom.operators.containment import MAX_SENT, canonical, containing, is_sent, prepared
 from matchloom.operators.outcome import mean_place, rolled_up, tally, top4_rate, win_rate
 from matchloom.session import staged
@@ -137,10 +137,11 @@ def comp_stats(
         catalog, freq, min(first_level, *report_levels), min(last_level, max(report_levels)), within_version
     )
     stats = outcomes.join(grown, "itemset_id")
+    known = trait_lookups(unit_traits, trait_tiers)
     columns = []
     for level in report_levels:
         name = f"level_{level}"
-        stats = active_traits(stats, name, unit_traits, trait_tiers, out=f"{name}_traits")
+        stats = active_traits(stats, name, unit_traits, trait_tiers, out=f"{name}_traits", known=known)
         columns += [name, f"{name}_traits"]
     key = [F.col("itemset_id.level").alias("level"), F.col("itemset_id.itemsets").alias("itemsets")] if with_key else []
     return stats.orderBy(*version_order("itemset_id.game_version"), "itemset_id").select(
