@@ -614,6 +614,8 @@ SQL["frequent_comps"] = (
     comps_with(frequent(10)) + f"SELECT game_version, level, {text('itemsets')} AS itemsets, support FROM frequent"
 )
 
+SQL["frequent_comps_mined"] = SQL["frequent_comps"]
+
 SQL["itemsets_fpgrowth"] = (
     comps_with(
         f"""
