@@ -40,9 +40,12 @@ def joined_key(*parts: Column) -> Column:
 
 
 def day_window(ts: Column, day: Column) -> Column:
-    """True inside the UTC day before ``day`` (half-open)."""
-    start = F.date_sub(day.cast("date"), 1).cast("timestamp")
-    return (ts >= start) & (ts < day.cast("date").cast("timestamp"))
+    """True inside the UTC day before ``day`` (half-open).
+
+    The bounds are dates, which take on the column's own type, so the filter reaches the scan.
+    """
+    end = day.cast("date")
+    return (ts >= F.date_sub(end, 1)) & (ts < end)
 
 
 def flag(condition: Column) -> Column:

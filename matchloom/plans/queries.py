@@ -180,8 +180,9 @@ def seed_topup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def day_window(spark: SparkSession, sf: str) -> DataFrame:
-    events = sample.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return acquire.of_previous_day(events.select("event_id", "ts", "user_id"), "ts", F.lit("2024-01-16"))
+    events = sample.table(spark, sf, "events").select("event_id", "ts", "user_id")
+    found = acquire.of_previous_day(events, "ts", F.lit("2024-01-16"))
+    return found.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query

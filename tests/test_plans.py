@@ -72,6 +72,11 @@ def test_unit_statistics_read_three_columns(spark):
     assert "l_extendedprice" not in text
 
 
+def test_day_window_reaches_the_scan(spark):
+    text = plan(queries()["day_window"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts,2024-01-15" in text and "LessThan(ts,2024-01-16" in text
+
+
 def test_caps_apply_before_the_shuffle(spark, no_broadcast):
     for name in ("per_key_cap", "comps"):
         text = plan(queries()[name](spark, SF_DIR))
