@@ -266,7 +266,9 @@ def active_traits(
     """
 
     def in_order(counts: Column) -> Column:
-        ranked = F.transform(counts, lambda c: F.struct((-c["n"]).alias("less"), c["trait_id"].alias("trait_id"), c["n"].alias("n")))
+        ranked = F.transform(
+            counts, lambda c: F.struct((-c["n"]).alias("less"), c["trait_id"].alias("trait_id"), c["n"].alias("n"))
+        )
         return F.transform(F.array_sort(ranked), lambda r: F.struct(r["trait_id"].alias("trait_id"), r["n"].alias("n")))
 
     known = known or trait_lookups(unit_traits, trait_tiers)

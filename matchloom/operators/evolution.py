@@ -90,10 +90,12 @@ def comp_evolution(
             F.struct((-F.col("n")).alias("less"), "combine_full_units").alias("place"),
         )
         # A row that stands for "none" keeps every itemset in the join.
-        none = itemsets.select("itemset_id", *[F.lit(None).cast(candidates.schema[c].dataType).alias(c) for c in ("board", "base", "place")])
+        blanks = [F.lit(None).cast(candidates.schema[c].dataType).alias(c) for c in ("board", "base", "place")]
+        none = itemsets.select("itemset_id", *blanks)
         last = F.broadcast(steps) if is_sent(itemsets) else steps
         open_ = candidates.unionByName(none).join(last, "itemset_id")
-        open_ = open_.filter(F.col("board").isNull() | F.col("taken").isNull() | contains_all(F.col("base"), F.col("taken")))
+        grows = contains_all(F.col("base"), F.col("taken"))
+        open_ = open_.filter(F.col("board").isNull() | F.col("taken").isNull() | grows)
         best = F.min_by(F.struct("board", "base"), "place")
         column = f"level_{level}"
         steps = (

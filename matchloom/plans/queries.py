@@ -478,7 +478,8 @@ FPGROWTH_SUPPORT = 0.02
 @query
 def itemsets_fpgrowth(spark: SparkSession, sf: str) -> DataFrame:
     found = mining.frequent_itemsets(_comps(spark, sf), "combine_units", ["game_version"], FPGROWTH_SUPPORT)
-    return found.select("game_version", text("itemsets").alias("itemsets"), "freq", half_even(F.col("support"), 4).alias("support"))
+    support = half_even(F.col("support"), 4).alias("support")
+    return found.select("game_version", text("itemsets").alias("itemsets"), "freq", support)
 
 
 def _frequent(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
