@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,10 +29,16 @@ def spark_session(app: str = "matchloom", master: str | None = None, **conf: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one if unset."""
+    """The folder that the driver and every executor reach: ``spark.checkpoint.dir``.
+
+    Only a local session may do without the setting and gets a temporary folder, which goes when Python ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="matchloom-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
     return root
 
