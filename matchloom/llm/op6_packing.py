@@ -175,12 +175,15 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             along = mine - rank[at]
             sequence = window[at] + along // each[at]
             place_in = offset[at] + along % each[at] * length
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence, pa.int64()), pa.array(place_in, pa.int64())], names=[*ranked.columns[:5], "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence, pa.int64()), pa.array(place_in, pa.int64())], names=PLACED)
 
     kind = cut.schema["doc_id"].dataType.simpleString()
     return ranked.mapInArrow(place, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
+PLACED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
 def packed(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of every document with its window and its place there."""
     return pack(staged(pieces(docs, ranks_path, pattern, capacity), "pieces"), capacity)
