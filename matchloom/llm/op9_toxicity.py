@@ -5,8 +5,8 @@ The features of a text are its distinct lower-case words and the starts of those
 compounds and inflections), each counted as present or not. The result is the expected severity, the sum over k of
 P(grade > k), and the most likely grade.
 
-The model is fitted on the driver on a bounded sample of labelled texts: the `SAMPLE` rows of least seeded hash of
-the text, of which at most `SAMPLE_BYTES` of text are used in that order. A feature is used if it stands in `LEAST` of
+The model is fitted on the driver on a bounded sample of labelled texts: the `SAMPLE` labelled ids of least seeded hash,
+of whose texts at most `SAMPLE_BYTES` are used in that order. A feature is used if it stands in `LEAST` of
 these texts or more and its presence depends on the grade (a G statistic of `SIGNAL` or more), so the model is sparse
 and a long text doesn't add up chance. All documents are scored over their whole text, without a shuffle.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.shared import small_batches, text_of
 
-SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 8000, 32 << 20, 4, (4, 5), 20.0
+SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 4000, 16 << 20, 4, (4, 5), 20.0
 #: Strength of the quadratic penalty, steps of the fit, and its first step size.
 PENALTY, STEPS, RATE = 1e-5, 800, 0.1
 #: Documents of this expected severity or more are rejected.
@@ -83,14 +83,13 @@ def fit(texts: list[str], grades: list[int], least: int = LEAST, penalty: float
     if top == 0 or min(grades) == top:
         return Model({}, np.full(top, 40.0 if top == 0 else -40.0))
     share = Counter(grades)
-    bags = [features(t) for t in texts]
-    seen: dict[str, Counter] = {}
-    for bag, g in zip(bags, grades, strict=True):
-        for f in bag:
-            seen.setdefault(f, Counter())[g] += 1
-    names = sorted(f for f, n in seen.items() if n.total() >= least and dependence(n, share) >= SIGNAL)
+    seen = {g: Counter() for g in share}
+    for text, g in zip(texts, grades, strict=True):
+        seen[g].update(features(text))
+    counted = ((f, Counter({g: seen[g][f] for g in share})) for f in set().union(*seen.values()))
+    names = sorted(f for f, n in counted if n.total() >= least and dependence(n, share) >= SIGNAL)
     index = {f: i for i, f in enumerate(names)}
-    pairs = [(i, index[f]) for i, bag in enumerate(bags) for f in sorted(bag) if f in index]
+    pairs = [(i, index[f]) for i, text in enumerate(texts) for f in sorted(features(text) & index.keys())]
     row, column = np.array(pairs, np.int64).reshape(-1, 2).T
     grade = np.array(grades)
     w, cuts = ascend(row, column, np.minimum(grade, 1), len(names), np.zeros(len(names) + 1), penalty, steps, 0)
@@ -136,18 +135,24 @@ def ascend(
     return state[:n], thresholds(state[n:])
 
 
-def sample(labelled: DataFrame, text_col: str, grade_col: str, rows: int = SAMPLE, most: int = SAMPLE_BYTES) -> tuple[list[str], list[int]]:
-    """The bounded sample that the model is fitted on: texts and grades. Rows of over an eighth of `most` bytes are passed over."""
+def sample(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", rows: int = SAMPLE, most: int = SAMPLE_BYTES
+) -> tuple[list[str], list[int]]:
+    """The bounded sample that the model is fitted on: texts and grades. Texts of over a sixteenth of `most` bytes are passed over.
+
+    The labelled ids are chosen from the labels alone, so what meets the documents is bounded by `rows`.
+    """
+    known = labels.where(F.col(grade_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(grade_col).cast("int").alias("_grade"))
+    chosen = known.withColumn("_h", F.xxhash64("_id", F.lit(9))).orderBy("_h", "_id").limit(rows)
     text = text_of(text_col)
-    short = labelled.where(F.col(grade_col).isNotNull() & (F.octet_length(text) <= most // 8))
-    chosen = short.select(text.alias("text"), F.col(grade_col).cast("int").alias("grade"), F.xxhash64(text, F.lit(9)).alias("h")).orderBy("h", "text").limit(rows)
+    found = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.octet_length("text") <= most // 16).join(F.broadcast(chosen), F.col("id") == F.col("_id"))
     texts, grades, size = [], [], 0
-    for text, grade, _ in chosen.toLocalIterator():
-        size += len(text.encode())
+    for row in found.select("text", "_grade", "_h").orderBy("_h", "text").limit(rows).toLocalIterator():
+        size += len(row["text"].encode())
         if size > most:
             break
-        texts.append(text)
-        grades.append(grade)
+        texts.append(row["text"])
+        grades.append(row["_grade"])
     return texts, grades
 
 

@@ -60,9 +60,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Grades of the labels: 0 not toxic, 1 toxic, 2 toxic and of low quality."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), (F.col("toxic") * (2 - F.coalesce("quality", F.lit(1)))).alias("grade"))
-    documents = table(spark, sf_dir, "documents")
-    return toxicity.fit(*toxicity.sample(documents.join(labels, documents["doc_id"] == labels["labelled"]), "text", "grade"))
+    labels = table(spark, sf_dir, "labels").withColumn("grade", F.col("toxic") * (2 - F.coalesce("quality", F.lit(1))))
+    return toxicity.fit(*toxicity.sample(table(spark, sf_dir, "documents"), labels))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
