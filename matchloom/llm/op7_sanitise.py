@@ -114,14 +114,19 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     held = staged(held.join(often, "entity"), "entities")  # texts that hold a protected entity
     if held.isEmpty():
         return None
-    of_text = docs.select(F.xxhash64(text).alias("mark"), F.explode(words_of(text)).alias("term"))  # copies of a text say the same
-    near = of_text.join(held.select("mark").distinct(), "mark", "left_semi").distinct()
+    marked = docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
+    near = marked.join(held.select("mark").distinct(), "mark", "left_semi").select("mark", F.explode(words_of(F.col("text"))).alias("term"))
+    near = staged(near.distinct(), "near")  # copies of a text say the same
+    # a term stands in as many texts at least as it does among these, which leaves out the common ones before the corpus is read
+    about = near.groupBy("term").agg(F.count("*").alias("n_near"))
     pairs = held.join(near, "mark").groupBy("entity", "term", "n_entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
+    n_texts = found.agg(F.countDistinct("mark")).first()[0]
+    pairs = pairs.join(about, "term").where(reveals(F.col("n_entity"), F.col("n_near"), F.col("n_both"), n_texts))
     pairs = staged(pairs, "pairs")
     if pairs.isEmpty():
         return None
-    counts = of_text.join(pairs.select("term").distinct(), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    n_texts = found.agg(F.countDistinct("mark")).first()[0]
+    everywhere = marked.select("mark", F.explode(words_of(F.col("text"))).alias("term"))
+    counts = everywhere.join(pairs.select("term").distinct(), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     told = pairs.join(counts, "term").where(discloses(F.col("n_entity"), F.col("n_term"), F.col("n_both"), n_texts))
     terms = staged(told.select("entity", "term"), "terms")
     if terms.isEmpty():
@@ -131,11 +136,16 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     return staged(own.groupBy("mark").agg(F.collect_set("term").alias("terms")), "terms")
 
 
-def discloses(n_entity: Column, n_term: Column, n_both: Column, n_texts: int) -> Column:
-    """Whether a term reveals an entity: by the share of the entity's information that it gives, and by significance."""
+def reveals(n_entity: Column, n_term: Column, n_both: Column, n_texts: int) -> Column:
+    """Whether a term gives the share `DISCLOSE` of an entity's information. The fewer texts hold the term, the more it gives."""
     n = F.lit(float(n_texts))
-    information = -F.log2(n_entity / n)
     pmi = F.log2(n_both * n / (n_entity * n_term))
+    return (pmi > 0) & (pmi >= DISCLOSE * -F.log2(n_entity / n))
+
+
+def discloses(n_entity: Column, n_term: Column, n_both: Column, n_texts: int) -> Column:
+    """Whether a term reveals an entity, and not by chance."""
+    n = F.lit(float(n_texts))
 
     def part(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
@@ -146,7 +156,7 @@ def discloses(n_entity: Column, n_term: Column, n_both: Column, n_texts: int) ->
         + part(n_term - n_both, n_term * (n - n_entity) / n)
         + part(n - n_entity - n_term + n_both, (n - n_entity) * (n - n_term) / n)
     )
-    return (pmi > 0) & (pmi >= DISCLOSE * information) & (g >= SIGNAL)
+    return reveals(n_entity, n_term, n_both, n_texts) & (g >= SIGNAL)
 
 
 def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
