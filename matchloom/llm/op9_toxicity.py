@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.shared import small_batches, text_of
 
-SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 4000, 16 << 20, 4, (4, 5), 20.0
+SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 6000, 24 << 20, 4, (4, 5), 20.0
 #: Strength of the quadratic penalty, steps of the fit, and its first step size.
 PENALTY, STEPS, RATE = 1e-5, 800, 0.1
 #: Documents of this expected severity or more are rejected.
-REJECT = 0.2
+REJECT = 0.15
 
 WORD = re.compile(r"\w+")
 
