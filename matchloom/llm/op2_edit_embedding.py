@@ -163,7 +163,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own = F.struct(F.col("range").alias("range"), F.lit(True).alias("own"))
     guest = F.struct(guests.alias("range"), F.lit(False).alias("own"))
     dealt = rows.select("doc_id", "text", F.explode(F.array(own, guest)).alias("to")).where("to.range is not null").select("doc_id", "text", "to.range", "to.own")
-    dealt = dealt.repartition(n, "range")
+    dealt = dealt.repartitionById(len(cuts) + 1, F.col("range"))  # a partition for each range
     return dealt.sortWithinPartitions("range", F.desc("own"), F.desc_nulls_last("doc_id"), "text")
 
 
