@@ -191,7 +191,8 @@ def buckets(classes: DataFrame) -> DataFrame:
 
     rows = classes.select("class", "signature").mapInArrow(each, "key long, class binary")
     shared = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("class").alias("hub")).where("members > 1")
-    return rows.join(shared, "key")
+    # written, so that the join deals both sides out for itself and a key with many members is split
+    return rows.join(staged(shared, "keys"), "key")
 
 
 def joined(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
@@ -251,7 +252,7 @@ def across(members: DataFrame, described_classes: DataFrame, levels: list[tuple[
     their first common band alone.
     """
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    sizes = staged(sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all")), "sizes")
     lots = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
     rows = members.join(sizes, "key").select(
         "key", "class", "component", (F.col("component") == F.col("main.component")).alias("is_main"),
@@ -350,6 +351,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", tex
         return None
     several = staged(classes.join(weight, "class"), "candidates")  # of classes that share a bucket
     strong = shared.join(several.select("class", "weight"), "class").groupBy("key").agg(F.max(F.struct("weight", "class")).alias("strong"))
+    strong = staged(strong, "strong")
     star = shared.join(strong, "key").select("class", F.explode(F.array("hub", "strong.class")).alias("hub")).where("class != hub")
     star = star.select(F.greatest("class", "hub").alias("a"), F.least("class", "hub").alias("b")).distinct()
 
@@ -358,6 +360,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", tex
     component = staged(components(edges), "components")
     home = shared.where("members > 2").join(component, "class", "left").withColumn("component", F.coalesce("component", "class"))
     divided = home.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
+    divided = staged(divided, "divided")
     more = staged(across(home.join(divided, "key"), known, levels, percent), "links")  # a bucket of two has had its one pair
     return component if more.isEmpty() else staged(components(edges.union(more)), "components")
 
