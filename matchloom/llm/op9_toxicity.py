@@ -173,11 +173,12 @@ def severity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 def scored(model: Model, texts: pa.Array, reject: float) -> tuple[np.ndarray, ...]:
     """Scores, expected severities, most likely grades and rejections of texts."""
-    scores = np.array([model.score(t or "") for t in texts.to_pylist()], float)
+    values = texts.to_pylist()
+    scores = np.array([model.score(t or "") for t in values], float)
     above = model.grades(scores)
     full = np.column_stack([np.ones(len(scores)), above, np.zeros(len(scores))])
     expected = above.sum(axis=1)
-    words = np.array([bool(t) for t in texts.to_pylist()], bool)
+    words = np.array([bool(t) for t in values], bool)
     return scores, expected, np.argmax(full[:, :-1] - full[:, 1:], axis=1), (expected >= reject) & words
 
 

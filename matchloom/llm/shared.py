@@ -6,7 +6,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches that carry whole texts hold at most this many rows and bytes.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
