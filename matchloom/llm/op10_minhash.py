@@ -232,10 +232,10 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = staged(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")  # written: a hub's edges can be split
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").union(least.select("a", F.col("m").alias("b")))
         edges = staged(small.distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

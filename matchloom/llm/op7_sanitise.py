@@ -86,6 +86,12 @@ def term_spans(text: Column, terms: Column) -> Column:
     return spans_of(text, WORD, lambda v: F.array_contains(terms, F.lower(v)))
 
 
+def outside(terms: Column, base: list[Column]) -> Column:
+    """Spans of terms that no base span overlaps."""
+    taken = F.concat(*base)
+    return F.filter(terms, lambda t: ~F.exists(taken, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+
+
 def entity(kind: str, value: Column) -> Column:
     """One name for the ways to write an entity."""
     return F.concat(F.lit(kind + ":"), F.lower(value) if kind in ("email", "ip") else digits(value))
@@ -170,7 +176,7 @@ def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     told = docs.select(F.xxhash64(text).alias("mark"), text.alias("text")).join(terms, "mark")
     told = told.groupBy("mark").agg(F.first("text").alias("text"), F.first("terms").alias("terms"))
     told = staged(told.select("mark", term_spans(F.col("text"), F.col("terms")).alias("term")), "told")
-    return found.join(told, "mark", "left").withColumn("term", F.coalesce("term", F.array().cast(SPANS))).select(*found.columns, "term")
+    return found.join(told, "mark", "left").select(*found.columns, outside(F.coalesce("term", F.array().cast(SPANS)), [F.col(k) for k in KINDS]).alias("term"))
 
 
 def digest(rows: DataFrame) -> DataFrame:
@@ -209,7 +215,8 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if terms is not None:
         terms = terms.select(F.col("mark").alias("_mark"), F.col("terms").alias("_terms"))
         rows = docs.join(terms, F.xxhash64(text) == terms["_mark"], "left")
-        spans["term"] = F.when(terms["_terms"].isNotNull(), term_spans(text, terms["_terms"])).otherwise(F.array().cast(SPANS))
+        told = outside(term_spans(text, terms["_terms"]), list(spans.values()))
+        spans["term"] = F.when(terms["_terms"].isNotNull(), told).otherwise(F.array().cast(SPANS))
     rows = rows.select(F.when(docs[text_col].isNotNull(), masked(text, spans)).alias("clean"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     kinds = dict(docs.dtypes)
     old = F.col(f"row.{text_col}")
