@@ -138,19 +138,15 @@ def build_comps(
     traits: DataFrame,
     trait_tiers: DataFrame,
     emblems: DataFrame,
-    max_level: int | None = None,
     ignore_threshold: int = 1,
     ordered: bool = False,
 ) -> DataFrame:
     """Legal compositions with as many units as the player's level, one row per board.
 
     ``players`` has game_version, match_id, puuid, placement and level; the version and the two ids
-    name a board, and a match has one version. ``max_level`` saves looking up the highest level and
-    must not be below it.
+    name a board, and a match has one version. The highest level is looked up among them.
     """
-    if max_level is None:
-        max_level = players.agg(F.max("level")).first()[0] or 0
-    boards = _boards_of_level(units, players, max_level)
+    boards = _boards_of_level(units, players, players.agg(F.max("level")).first()[0] or 0)
     listed = _trait_lists(traits, trait_tiers).filter(F.col("n_illegal") <= ignore_threshold)
     # Lists are put in order only for the few boards that are left.
     comps = boards.join(listed, BOARD).select(

@@ -12,7 +12,7 @@ from matchloom.operators.outcome import (
     TYPE_ORDER,
 )
 from matchloom.plans.queries import FPGROWTH_SUPPORT, NEW_VERSION, OLD_VERSION, REPORT_LEVELS
-from matchloom.sources.sample import MARKER, MAX_LEVEL, SPECIAL_ITEMS, SUMMONS, TRAIT_NEEDS, UNITS_KNOWN
+from matchloom.sources.sample import BAD_DAYS, MARKER, MAX_LEVEL, SPECIAL_ITEMS, SUMMONS, TRAIT_NEEDS, UNITS_KNOWN
 
 
 def r(x: str, digits: int) -> str:
@@ -410,7 +410,7 @@ SELECT 'participants' AS table_name, {MONTH} AS run_date, count(*) AS n_rows FRO
 UNION ALL
 SELECT 'units', CAST(date_trunc('month', l_shipdate) AS DATE), count(*) FROM lineitem GROUP BY ALL"""
 YEAR = "CAST(date_trunc('year', o_orderdate) AS DATE)"
-SQL["load_landed_days"] = f"""
+TABLES_BY_YEAR = f"""
 WITH days AS (SELECT {YEAR} AS run_date, o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)
 SELECT 'matches' AS table_name, run_date, count(*) AS n_rows FROM days GROUP BY ALL
 UNION ALL
@@ -422,7 +422,11 @@ SELECT 'units', run_date, count(*) FROM (
   SELECT run_date, unnest(range(0, CAST(greatest(1, (o_orderkey + i) % 7) AS BIGINT))) FROM days, range(0, 8) t(i))
 GROUP BY ALL
 UNION ALL
-SELECT 'loaded_dates', run_date, 1 FROM days GROUP BY ALL"""
+SELECT DISTINCT 'loaded_dates', run_date, 1 FROM days"""
+SQL["stream_load_tables"] = TABLES_BY_YEAR
+SQL["load_landed_days"] = TABLES_BY_YEAR + "".join(
+    f"\nUNION ALL\nSELECT 'rejected_dates', DATE '{day}', 1" for day in BAD_DAYS
+)
 
 BRAND_IDS = """
   brand_ids AS (

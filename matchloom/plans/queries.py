@@ -321,7 +321,8 @@ def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
 def load_landed_days(spark: SparkSession, sf: str) -> DataFrame:
     """Land ranked matches as files by year, load them twice and count what the tables hold.
 
-    The second load finds nothing pending and must change nothing.
+    Three more dates can't be loaded and stay pending. The second load finds only these and must change nothing.
+    The columns of the match files are in another order than the table's.
     """
     raw = acquire.of_queue(sample.raw_matches(spark, sf))
     year = F.trunc(F.timestamp_millis(F.col("info.game_datetime")), "year")
@@ -329,12 +330,25 @@ def load_landed_days(spark: SparkSession, sf: str) -> DataFrame:
     headers = acquire.match_headers(acquire.of_queue(sample.raw_matches(spark, sf, header_only=True)))
     headers = headers.withColumn("run_date", F.trunc(F.timestamp_millis(F.col("game_datetime")), "year"))
     landed_root, table_root = shared_path(spark, "landed"), shared_path(spark, "tables")
-    landed.write_landed(acquire.match_participants(dated, ["run_date"]), landed_root, "participants")
-    landed.write_landed(headers, landed_root, "matches")
-    tables.load_pending(spark, landed_root, table_root)
-    tables.load_pending(spark, landed_root, table_root)
+    people = acquire.match_participants(dated, ["run_date"])
+    landed.write_landed(people, landed_root, "participants")
+    landed.write_landed(headers.select(*reversed(headers.columns)), landed_root, "matches")
+    first = headers.agg(F.min("run_date")).first()[0]
+    again = people.filter(F.col("run_date") == F.lit(first))
+    renamed = again.withColumn("match_id", F.concat(F.lit("again-"), "match_id"))
+    # a value that does not parse, keys of another day, a column that is not there
+    bad_days = zip(sample.BAD_DAYS, (renamed.withColumn("placement", F.lit("x")), again, renamed.drop("level")))
+    for day, rows in bad_days:
+        rows = rows.withColumn("run_date", F.lit(day).cast("date"))
+        landed.write_landed(rows, landed_root, "participants")
+        ids = rows.select("match_id", "run_date").distinct()
+        rest = headers.filter(F.col("run_date") == F.lit(first)).limit(1).drop("match_id", "run_date")
+        landed.write_landed(ids.join(F.broadcast(rest)), landed_root, "matches")
+    tables.load_pending(spark, landed_root, table_root, strict=False)
+    tables.load_pending(spark, landed_root, table_root, strict=False)
     held = {name: tables.read_table(spark, table_root, name) for name in tables.TABLES}
     held["loaded_dates"] = tables.read_ledger(spark, table_root).select(F.col("loaded_date").alias("run_date"))
+    held["rejected_dates"] = tables.rejected_dates(spark, table_root).select("run_date").distinct()
     return tables.audit_counts(held)
 
 
@@ -412,7 +426,6 @@ def _comps(spark: SparkSession, sf: str) -> DataFrame:
         sample.traits(spark, sf),
         sample.trait_tiers(spark),
         sample.emblem_traits(spark),
-        max_level=sample.MAX_LEVEL,
     )
 
 
@@ -586,9 +599,7 @@ def stream_daily_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Events as outcomes, placed by user, counted per day and type on the stream."""
     stream = _event_stream(spark, sf).withColumn("placement", (F.col("user_id") % 8 + 1).cast("int"))
     path, keys = shared_path(spark, "daily"), ["event_type"]
-    landing.run_daily_counts(
-        landing.daily_counts(stream, "ts", keys, "placement"), path, shared_path(spark, "daily-checkpoint")
-    )
+    landing.run_daily_counts(stream, "ts", keys, "placement", path, shared_path(spark, "daily-checkpoint"))
     return landing.latest_counts(spark, path, keys).select(
         "day",
         *keys,
@@ -612,3 +623,32 @@ def stream_load_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
     landing.run_available(stream, shared_path(spark, "ids-checkpoint"), each_batch)
     return spark.read.parquet(path).select("match_id")
+
+
+@query
+def stream_load_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Load matches from JSON files in three batches with repeats within and across them, then a landed day.
+
+    Returns what the tables and the ledger hold by year.
+    """
+    raw = acquire.of_queue(sample.raw_matches(spark, sf))
+    third = F.pmod(F.xxhash64("metadata.match_id"), F.lit(3))
+    source, root, checkpoint = (shared_path(spark, name) for name in ("json", "tables", "stream"))
+
+    def year(at: Column) -> Column:
+        return F.trunc(at, "year")
+
+    for batch in range(3):
+        part = raw.filter((third == batch) | (third == (batch + 1) % 3))  # every match comes in two batches
+        landed.write_raw_matches(part.union(part.filter(third == batch)), source)
+        landing.load_matches_stream(spark, source, root, checkpoint, run_date=year)
+    landed_root = shared_path(spark, "landed")
+    later = raw.filter(third == 0).withColumn("run_date", F.lit(sample.BAD_DAYS[0]).cast("date"))
+    later = later.withColumn("metadata", F.struct(F.concat(F.lit("later-"), "metadata.match_id").alias("match_id")))
+    landed.write_landed(acquire.match_participants(later, ["run_date"]), landed_root, "participants")
+    landed.write_landed(acquire.match_headers(later).withColumn("run_date", F.lit(sample.BAD_DAYS[0]).cast("date")), landed_root, "matches")
+    tables.load_pending(spark, landed_root, root)
+    held = {name: tables.read_table(spark, root, name) for name in tables.TABLES}
+    held["loaded_dates"] = tables.read_ledger(spark, root).select(F.col("loaded_date").alias("run_date"))
+    landed_day = F.col("run_date") == F.lit(sample.BAD_DAYS[0]).cast("date")
+    return tables.audit_counts({name: rows.filter(~landed_day) for name, rows in held.items()})

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 MARKER = "T14_U0"
 SUMMONS = ["T14_U11"]
 MAX_LEVEL = 6
+# Run dates that no order has.
+BAD_DAYS = ("2100-01-01", "2100-01-02", "2100-01-03")
 SLOT_ORDER = ["slot_idx", "character_id", "rarity", "tier", "items"]
 SPECIAL_ITEMS = [
     "TFT_Item_BFSword",

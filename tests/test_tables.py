@@ -189,6 +189,80 @@ def test_stream_loads_each_match_once(spark, tmp_path):
     assert spark.read.parquet(f"{root}/matches").count() == 2
 
 
+def test_stream_and_batch_load_share_tables(spark, tmp_path, monkeypatch):
+    source, root, check = tmp_path / "in", str(tmp_path / "tables"), str(tmp_path / "check")
+    drop(source, "1.json", match("a"), match("b"))
+    write = tables.write_table
+
+    def failing(df, root_, name):
+        if name == "matches":
+            raise RuntimeError("lost")
+        write(df, root_, name)
+
+    monkeypatch.setattr(tables, "write_table", failing)
+    with pytest.raises(Exception, match="lost"):
+        landing.load_matches_stream(spark, str(source), root, check)
+    monkeypatch.setattr(tables, "write_table", write)
+    landing.load_matches_stream(spark, str(source), root, check)
+    drop(source, "2.json", match("b"), match("c"))
+    landing.load_matches_stream(spark, str(source), root, check)
+    assert {n: tables.read_table(spark, root, n).count() for n in tables.TABLES} == {"matches": 3, "participants": 6, "traits": 6, "units": 9}
+    landed_root, _ = land(spark, tmp_path, match("d", 14), match("e", 15))
+    loaded = counts(tables.load_pending(spark, landed_root, root))
+    assert {d for _, d in loaded} == {DAY[15]}  # the stream entered the other date
+    assert sorted(r.loaded_date for r in tables.read_ledger(spark, root).collect()) == [DAY[14], DAY[15]]
+
+
+def test_a_bad_day_stays_alone_and_columns_go_by_name(spark, tmp_path):
+    landed_root, table_root = land(spark, tmp_path, match("a"), match("b", 15), match("c", 16))
+    lines = "match_id,puuid,placement\na,p,1\n"
+    folder = tmp_path / "landed" / "participants" / "run_date=2025-04-15"
+    for old in folder.glob("*.csv"):
+        old.write_text(lines)
+        next(folder.glob(f".{old.name}.crc")).unlink()
+    folder = tmp_path / "landed" / "matches" / "run_date=2025-04-14"
+    for old in folder.glob("*.csv"):
+        old.write_text("game_length,game_datetime,match_id,tft_set_number,game_version\n7.5,1744624800000,a,14,Version 15.8.1.2\n")
+        next(folder.glob(f".{old.name}.crc")).unlink()
+    with pytest.raises(tables.LoadError):
+        tables.load_pending(spark, landed_root, table_root)
+    assert sorted(r.loaded_date for r in tables.read_ledger(spark, table_root).collect()) == [DAY[14], DAY[16]]
+    assert [r.run_date for r in tables.rejected_dates(spark, table_root).collect()] == [DAY[15]]
+    row = tables.read_table(spark, table_root, "matches").filter("match_id = 'a'").first()
+    assert (row.game_duration, row.game_datetime) == (7.5, datetime.datetime(2025, 4, 14, 10))
+
+
+def test_wrong_values_and_keys_are_named(spark, tmp_path):
+    root = str(tmp_path)
+    people = landed.typed(spark.createDataFrame([], HEADER.replace(",", " string, ") + " string, run_date date"), "participants")
+    rows = [("a", "p", 14, []), ("a", "p", 14, []), ("a", "q", 14, ["placement"]), ("b", "p", 15, []), ("a", "r", 15, []), ("c", None, 16, [])]
+    data = spark.createDataFrame([(m, p, DAY[d], b) for m, p, d, b in rows], "match_id string, puuid string, run_date date, bad array<string>")
+    people = people.unionByName(data, allowMissingColumns=True)
+    heads = spark.createDataFrame([("a", DAY[14], []), ("a", DAY[15], []), ("c", DAY[16], [])], "match_id string, run_date date, bad array<string>")
+    got = {(r.run_date.day, r.problem): r.n_rows for r in tables._problems(spark, people, heads, root).collect()}
+    assert got == {
+        (14, "participants that do not parse"): 1, (14, "participants with repeated keys"): 2, (16, "participants without a key"): 1,
+        (15, "matches of an earlier day"): 1, (15, "participants without a match"): 1,
+    }
+
+
+def test_only_folders_of_pending_dates_are_read(spark, tmp_path):
+    landed_root, _ = land(spark, tmp_path, match("a"), match("b", 15))
+    path = landed.day_path(landed_root, "matches", DAY[15])
+    day = landed.read_day(spark, path, landed.header_of(spark, path), DAY[15])
+    assert [r.match_id for r in day.collect()] == ["b"] and all("run_date=2025-04-15" in f for f in day.inputFiles())
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from matchloom import session
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_root(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
 def test_stream_drops_repeats_within_watermark(spark, tmp_path):
     source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
 
@@ -197,7 +271,7 @@ def test_stream_drops_repeats_within_watermark(spark, tmp_path):
             F.col("metadata.match_id").alias("match_id"), F.timestamp_millis("info.game_datetime").alias("ts")
         )
         landing.run_available(
-            landing.without_repeats(stream, "ts", ["match_id"]), check, lambda df, i: landing._write_batch(df, out, i, [])
+            landing.without_repeats(stream, "ts", ["match_id"], "2 days"), check, lambda df, i: landing._write_batch(df, out, i, [])
         )
 
     drop(source, "1.json", match("a"), match("b"), match("a"))
@@ -213,11 +287,13 @@ def test_daily_counts_over_batches(spark, tmp_path):
     def run():
         raw = landing.raw_match_stream(spark, str(source))
         people = acquire.match_participants(raw.withColumn("ts", F.timestamp_millis("info.game_datetime")), ["ts"])
-        landing.run_daily_counts(landing.daily_counts(people, "ts", ["level"], "placement"), out, check)
+        landing.run_daily_counts(people, "ts", ["level"], "placement", out, check)
 
     drop(source, "1.json", match("a", people=8))
     run()
     drop(source, "2.json", match("b", people=4), match("c", 15, people=1))
     run()
+    drop(source, "3.json", match("d", 2, people=1))  # twelve days late
+    run()
     got = {r.day: (r.n_rows, r.place_sum, r.n_win, r.n_top4) for r in landing.latest_counts(spark, out, ["level"]).collect()}
-    assert got == {DAY[14]: (12, 46, 2, 8), DAY[15]: (1, 1, 1, 1)}
+    assert got == {DAY[14]: (12, 46, 2, 8), DAY[15]: (1, 1, 1, 1), datetime.date(2025, 4, 2): (1, 1, 1, 1)}
