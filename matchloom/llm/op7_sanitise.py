@@ -176,7 +176,7 @@ def with_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     told = docs.select(F.xxhash64(text).alias("mark"), text.alias("text")).join(terms, "mark")
     told = told.groupBy("mark").agg(F.first("text").alias("text"), F.first("terms").alias("terms"))
     told = staged(told.select("mark", term_spans(F.col("text"), F.col("terms")).alias("term")), "told")
-    return found.join(told, "mark", "left").select(*found.columns, outside(F.coalesce("term", F.array().cast(SPANS)), [F.col(k) for k in KINDS]).alias("term"))
+    return found.join(told.hint("merge"), "mark", "left").select(*found.columns, outside(F.coalesce("term", F.array().cast(SPANS)), [F.col(k) for k in KINDS]).alias("term"))
 
 
 def digest(rows: DataFrame) -> DataFrame:
