@@ -272,3 +272,12 @@ def test_subsets(spark):
     got = df.select(containment.subsets(canonical(F.col("x"))).alias("s")).first().s
     want = [list(c) for k in (1, 2, 3) for c in itertools.combinations("abc", k)]
     assert sorted(got) == sorted(want)
+
+
+def test_boards_above_every_level_are_no_compositions(spark, dims):
+    """Nine units at level seven are not cut to seven, even where no player has a higher level."""
+    players = spark.createDataFrame([("15.8", "m", "p", 1, 7), ("15.8", "m", "q", 2, 7)], PLAYERS)
+    boards = [("m", p, "T_A", i, 1, 1, []) for p, n in (("p", 9), ("q", 7)) for i in range(n)]
+    traits = spark.createDataFrame([("m", p, "T_X", 2, 1, 2, 1) for p in "pq"], TRAITS)
+    built = comps.build_comps(players, spark.createDataFrame(boards, UNITS), traits, dims[1], dims[2])
+    assert [r.puuid for r in built.collect()] == ["q"]
