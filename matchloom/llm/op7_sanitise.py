@@ -123,7 +123,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
         return None
     marked = docs.select(F.xxhash64(text).alias("mark"), text.alias("text"))
     near = marked.join(held.select("mark").distinct(), "mark", "left_semi").select("mark", F.explode(words_of(F.col("text"))).alias("term"))
-    near = staged(near.distinct(), "near")  # copies of a text say the same
+    # copies of a text say the same; sizes on disk say little of these rows in memory, so they aren't sent to all
+    near = staged(near.distinct(), "near").hint("merge")
     # a term stands in as many texts at least as it does among these, which leaves out the common ones before the corpus is read
     about = near.groupBy("term").agg(F.count("*").alias("n_near"))
     pairs = held.join(near, "mark").groupBy("entity", "term", "n_entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
