@@ -2,11 +2,10 @@
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from matchloom.llm import op4_decontamination, op6_packing, op7_sanitise, op9_toxicity, op10_minhash
-from matchloom.llm.queries import table, toxicity_model
+from matchloom.llm import op4_decontamination, op7_sanitise, op9_toxicity, op10_minhash
+from matchloom.llm.queries import packed, table, toxicity_model
 from matchloom.session import staged
 
 #: Fitted models, shuffles and texts lie beyond SQL; tests hold each stage against a brute-force version.
@@ -35,7 +34,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return op6_packing.packed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packed(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

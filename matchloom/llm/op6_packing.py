@@ -8,7 +8,8 @@ room. Every piece is then ranked among those of its length, in two levels so tha
 many tasks, and finds its step by its rank.
 
 Ids come from `tiktoken` on the same vocabulary and pattern as the `tokenizers` file (tests hold the two against each
-other), four times as fast. A special string inside a text becomes its special id, as that library does by default.
+other), four times as fast. A special string inside a text becomes its special id, as that library does by default. A text
+that `tiktoken` refuses, one with a run of about a million white space characters, is encoded from the `tokenizers` file.
 
 Cases: a null or empty text is the end id alone; a null id stays null; repeated rows are packed each; equal lengths are
 ranked by id, start and checksum, and full ties are alike; an empty table gives no rows; other columns are not read.
@@ -18,6 +19,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -111,23 +113,34 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Step],
     return steps, windows
 
 
-def encoder(ranks_path: str, pattern: str):
-    """A function from a text to its ids."""
+def encoder(ranks_path: str, pattern: str, json_path: str):
+    """A function from a text to its ids. json_path: the same vocabulary for `tokenizers`, read when a text needs it."""
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     model = tiktoken.Encoding("byte_bpe_50k", pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return lambda text: model.encode(text, allowed_special="all")
+    exact = cache(lambda: Tokenizer.from_file(json_path))
 
+    def encode(text: str) -> list[int]:
+        try:
+            return model.encode(text, allowed_special="all")
+        except ValueError:  # the pattern needs more stack than its engine allows
+            return exact().encode(text, add_special_tokens=False).ids
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return encode
+
+
+def pieces(
+    docs: DataFrame, ranks_path: str, pattern: str, json_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of every piece: full windows, then the rest. No shuffle."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path, pattern)
+        encode = encoder(ranks_path, pattern, json_path)
         for batch in batches:
             owner, start, length, crc, tokens = [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -184,6 +197,6 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 PLACED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def packed(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def packed(docs: DataFrame, ranks_path: str, pattern: str, json_path: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of every document with its window and its place there."""
-    return pack(staged(pieces(docs, ranks_path, pattern, capacity), "pieces"), capacity)
+    return pack(staged(pieces(docs, ranks_path, pattern, json_path, capacity), "pieces"), capacity)

@@ -46,8 +46,13 @@ def op5_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle.placement(table(spark, sf_dir, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    ranks, exact = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("tiktoken", "json"))
+    return packing.packed(docs, ranks, public_tokenizers.PATTERN, exact)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packed(table(spark, sf_dir, "documents"))
 
 
 def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:

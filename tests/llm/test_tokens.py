@@ -28,7 +28,7 @@ def library():
 def test_pieces_hold_every_id_once_and_windows_are_gapless(spark, library):
     rng = random.Random(2)
     docs = helpers.awkward(spark, [*ODD, helpers.prose(rng, 511)])
-    got = packing.packed(docs, RANKS, PATTERN).collect()
+    got = packing.packed(docs, RANKS, PATTERN, JSON).collect()
     want = []
     for r in docs.collect():
         ids = np.array([*library.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
@@ -40,7 +40,7 @@ def test_pieces_hold_every_id_once_and_windows_are_gapless(spark, library):
     for parts in windows.values():
         ends = [0, *np.cumsum([n for _, n in sorted(parts)])]
         assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 1024
-    assert packing.packed(helpers.empty(spark), RANKS, PATTERN).count() == 0
+    assert packing.packed(helpers.empty(spark), RANKS, PATTERN, JSON).count() == 0
 
 
 def best_fit(sizes, capacity):
@@ -79,7 +79,12 @@ def test_ids_are_those_of_the_library(library, text):
     assert encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
-encode = packing.encoder(RANKS, PATTERN)
+encode = packing.encoder(RANKS, PATTERN, JSON)
+
+
+@pytest.mark.parametrize("text", [" " * 1_200_000 + "x <|endoftext|>", "a" + "\n" * 1_200_000, "1" * 300_000 + "!" * 300_000])
+def test_very_long_runs_have_ids(library, text):
+    assert encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
 def test_counts_are_those_of_the_library(spark):
