@@ -12,8 +12,8 @@ and a long text doesn't add up chance. All documents are scored over their whole
 
 Cases: null and empty texts have no features and get the severity of the thresholds alone, which a fit on mostly clean
 rows puts near 0, and are never rejected; labelled rows without a grade are not used for fitting; without any labelled
-row, or with only one grade, every severity is the lowest grade; repeated rows are scored each; other columns pass
-through `without_toxic` untouched, whatever their names; empty tables give no rows.
+row every severity is 0, with only one grade it is that grade, and nothing is rejected; repeated rows are scored each;
+other columns pass through `without_toxic` untouched, whatever their names; empty tables give no rows.
 """
 
 import re
@@ -31,8 +31,9 @@ from matchloom.llm.shared import small_batches, text_of
 SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 6000, 24 << 20, 4, (4, 5), 20.0
 #: Strength of the quadratic penalty, steps of the fit, and its first step size.
 PENALTY, STEPS, RATE = 1e-5, 800, 0.1
-#: Documents of this expected severity or more are rejected.
-REJECT = 0.15
+#: Documents of this expected severity or more are rejected if their words say so: they have to raise the odds of a grade above
+#: 0 by e ** EVIDENCE or more over those of a text without features, which are high where the sample explains little.
+REJECT, EVIDENCE = 0.05, 1.5
 
 WORD = re.compile(r"\w+")
 
@@ -178,8 +179,7 @@ def scored(model: Model, texts: pa.Array, reject: float) -> tuple[np.ndarray, ..
     above = model.grades(scores)
     full = np.column_stack([np.ones(len(scores)), above, np.zeros(len(scores))])
     expected = above.sum(axis=1)
-    words = np.array([bool(t) for t in values], bool)
-    return scores, expected, np.argmax(full[:, :-1] - full[:, 1:], axis=1), (expected >= reject) & words
+    return scores, expected, np.argmax(full[:, :-1] - full[:, 1:], axis=1), (expected >= reject) & (scores >= EVIDENCE)
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", reject: float = REJECT) -> DataFrame:
