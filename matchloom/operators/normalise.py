@@ -9,6 +9,7 @@ from matchloom.functions.literals import parse_literal
 from matchloom.functions.scalars import major_minor
 from matchloom.operators.skew import HOT_ROWS, SAMPLE, number_rows, split_heavy
 from matchloom.schemas import BOARD, TRAIT_LIST, UNIT_LIST
+from matchloom.session import staged
 
 # Sentinel ids, the unit that copies another, and summoned units.
 NO_TRAIT = "TFT_NoneTrait"
@@ -152,12 +153,12 @@ def clean_boards(
     if hot is None:
         return cleaned
 
-    # Heavy boards: the same facts as aggregates, which combine before the shuffle. They hold one
-    # row per heavy key, and heavy_keys bounds the number of those.
+    # Heavy boards: the same facts as aggregates, which combine before the shuffle, one row per heavy
+    # key. They are written, so Spark decides by real sizes how to join them.
     facts = hot.groupBy(*keys).agg(*[fact.alias(name) for name, fact in _marker_facts(marker).items()])
-    marked = hot.join(F.broadcast(facts), keys)
+    marked = hot.join(staged(facts, "board_facts"), keys)
     copied = marked.groupBy(*keys).agg(_copied_slot(summons).alias("_copied"))
-    marked = marked.join(F.broadcast(copied), keys)
+    marked = marked.join(staged(copied, "copied_slots"), keys)
     return cleaned.unionByName(_without_removed(marked, columns))
 
 

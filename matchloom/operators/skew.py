@@ -23,16 +23,15 @@ def heavy_keys(
 
     The keys are looked for in a sample of the key columns. The sample only picks a route, and both
     routes are exact, so a key missed or added near the limit does not change any result. There are
-    at most 2 * rows / hot_rows such keys.
+    at most 2 * rows / hot_rows such keys. They are written, not collected, so Spark knows their size
+    when it plans the joins with them.
     """
     seen = df.select(*keys).na.drop()
     if fraction < 1:
         seen = seen.sample(fraction, seed=7)
     heavy = seen.groupBy(*keys).count().filter(F.col("count") >= hot_rows * fraction / 2).drop("count")
-    found = heavy.collect()
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, heavy.schema)
+    heavy = staged(heavy, "heavy")
+    return None if heavy.isEmpty() else heavy
 
 
 def split_heavy(
@@ -50,7 +49,6 @@ def split_heavy(
     heavy = heavy_keys(df if seen_in is None else seen_in, keys, hot_rows, fraction)
     if heavy is None:
         return df, None
-    heavy = F.broadcast(heavy)
     return df.join(heavy, keys, "left_anti"), df.join(heavy, keys, "left_semi")
 
 
@@ -76,9 +74,10 @@ def _number_heavy(df: DataFrame, keys: list[str], order: list[str], out: str) ->
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first"))
         .drop("_first", "_rows")
     )
+    # one row per partition and per heavy key, at most
+    starts = staged(starts, "starts")
     return (
-        # One row per partition and per heavy key, at most.
-        ranked.join(F.broadcast(starts), [*keys, "_part"])
+        ranked.join(starts, [*keys, "_part"])
         .withColumn(out, (F.col("_seq") + F.col("_offset")).cast("int"))
         .drop("_part", "_seq", "_offset")
     )
