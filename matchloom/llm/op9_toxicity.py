@@ -33,7 +33,7 @@ SAMPLE, SAMPLE_BYTES, LEAST, STARTS, SIGNAL = 6000, 24 << 20, 4, (4, 5), 20.0
 PENALTY, STEPS, RATE = 1e-5, 800, 0.1
 #: Documents of this expected severity or more are rejected if their words say so: they have to raise the odds of a grade above
 #: 0 by e ** EVIDENCE or more over those of a text without features, which are high where the sample explains little.
-REJECT, EVIDENCE = 0.05, 1.5
+REJECT, EVIDENCE = 0.05, 2.0
 
 WORD = re.compile(r"\w+")
 
