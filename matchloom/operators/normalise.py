@@ -136,6 +136,7 @@ def clean_boards(
     hot_rows: int = HOT_ROWS,
     fraction: float = SAMPLE,
     seen_in: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Remove the copied unit that follows the last marker of a board.
 
@@ -144,7 +145,7 @@ def clean_boards(
     must run from 0 without gaps; they do so again afterwards. At most one unit leaves a board.
     """
     columns = units.columns
-    cold, hot = split_heavy(units, keys, hot_rows, fraction, seen_in)
+    cold, hot = split_heavy(units, keys, hot_rows, fraction, seen_in, heavy)
 
     board = Window.partitionBy(*keys)
     marked = cold.withColumns({name: fact.over(board) for name, fact in _marker_facts(marker).items()})
@@ -191,9 +192,10 @@ def renumber_slots(
     hot_rows: int = HOT_ROWS,
     fraction: float = SAMPLE,
     seen_in: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Number the slots of every board from 0, in slot order."""
-    return number_rows(units, keys, order or ["slot_idx"], "slot_idx", hot_rows, fraction, seen_in)
+    return number_rows(units, keys, order or ["slot_idx"], "slot_idx", hot_rows, fraction, seen_in, heavy)
 
 
 def drop_summons(units: DataFrame, summons: list[str] = SUMMONS) -> DataFrame:

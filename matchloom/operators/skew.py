@@ -18,20 +18,19 @@ SAMPLE = 0.01
 
 def heavy_keys(
     df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, fraction: float = SAMPLE
-) -> DataFrame | None:
-    """Keys that hold about ``hot_rows`` rows or more, or None if there are none.
+) -> DataFrame:
+    """Keys that hold about ``hot_rows`` rows or more, as a written table.
 
     The keys are looked for in a sample of the key columns. The sample only picks a route, and both
     routes are exact, so a key missed or added near the limit does not change any result. There are
-    at most 2 * rows / hot_rows such keys. They are written, not collected, so Spark knows their size
-    when it plans the joins with them.
+    at most 2 * rows / hot_rows such keys. They are not collected: Spark knows the size of what is
+    written when it plans the joins with it.
     """
     seen = df.select(*keys).na.drop()
     if fraction < 1:
         seen = seen.sample(fraction, seed=7)
     heavy = seen.groupBy(*keys).count().filter(F.col("count") >= hot_rows * fraction / 2).drop("count")
-    heavy = staged(heavy, "heavy")
-    return None if heavy.isEmpty() else heavy
+    return staged(heavy, "heavy")
 
 
 def split_heavy(
@@ -40,14 +39,16 @@ def split_heavy(
     hot_rows: int = HOT_ROWS,
     fraction: float = SAMPLE,
     seen_in: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """The rows of ordinary groups, and those of heavy groups if any.
 
     ``seen_in`` is where to look for heavy keys if that is cheaper than ``df``: a frame with at
-    least the rows of ``df``, before a costly filter or join.
+    least the rows of ``df``, before a costly filter or join. ``heavy`` are keys already found.
     """
-    heavy = heavy_keys(df if seen_in is None else seen_in, keys, hot_rows, fraction)
     if heavy is None:
+        heavy = heavy_keys(df if seen_in is None else seen_in, keys, hot_rows, fraction)
+    if heavy.isEmpty():
         return df, None
     return df.join(heavy, keys, "left_anti"), df.join(heavy, keys, "left_semi")
 
@@ -91,10 +92,11 @@ def number_rows(
     hot_rows: int = HOT_ROWS,
     fraction: float = SAMPLE,
     seen_in: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Add the row's position within its group, from 0; an existing column ``out`` is replaced."""
     columns = [c for c in df.columns if c != out] + [out]
-    cold, hot = split_heavy(df, keys, hot_rows, fraction, seen_in)
+    cold, hot = split_heavy(df, keys, hot_rows, fraction, seen_in, heavy)
     window = Window.partitionBy(*keys).orderBy(*order)
     numbered = cold.withColumn("_position", F.row_number().over(window) - 1)
     if hot is not None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from matchloom.functions.boards import id_prefix, normalise_tiers, unit_tiers, without_tier
 from matchloom.functions.literals import parse_failed, parse_literal
 from matchloom.functions.scalars import half_even
-from matchloom.operators import acquire, comps, evolution, mining, normalise, outcome, quality, report
+from matchloom.operators import acquire, comps, evolution, mining, normalise, outcome, quality, report, skew
 from matchloom.schemas import BOARD, UNIT_LIST
 from matchloom.session import shared_path, staged
 from matchloom.sources import dims, frames, landed, sample, tables
@@ -115,8 +115,9 @@ def load_traits_view(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def board_cleanup(spark: SparkSession, sf: str) -> DataFrame:
     units = sample.units(spark, sf)
-    boards = normalise.renumber_slots(units, sample.SLOT_ORDER)
-    cleaned = normalise.clean_boards(boards, sample.MARKER, sample.SUMMONS, seen_in=units)
+    heavy = skew.heavy_keys(units, BOARD)
+    boards = normalise.renumber_slots(units, sample.SLOT_ORDER, heavy=heavy)
+    cleaned = normalise.clean_boards(boards, sample.MARKER, sample.SUMMONS, heavy=heavy)
     return cleaned.withColumn("items", text("items"))
 
 
