@@ -3,8 +3,7 @@
 Base spans are e-mail addresses, IP addresses, payment cards and phone numbers, found by the rules fixed below. The
 values found are the protected entities. For every entity e that stands in `SUPPORT` distinct texts or more, the terms t
 of these texts (words of `LETTERS` letters or more) are counted, and over the whole corpus how many documents hold each
-term. Copies of a text count once among the texts of an entity, but each in the corpus: copying a text makes no term of
-it more telling. A term discloses e when its pointwise mutual information with e reaches the share `DISCLOSE` of e's
+term. Copies of a text count once, among the texts of an entity as in the corpus: all counts are of distinct texts. A term discloses e when its pointwise mutual information with e reaches the share `DISCLOSE` of e's
 own information, PMI(t; e) >= DISCLOSE * -log2 p(e), that is p(e|t) >= p(e)^(1 - DISCLOSE), and when the two depend on each
 other with a G statistic of `SIGNAL` or more, so that rare words that met an entity by chance stay. In texts that hold e
 those terms are spans of the kind "term". Sanitised texts have each span replaced by its kind, e.g. [EMAIL]: identifiers
@@ -133,8 +132,12 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text")
     pairs = staged(pairs, "pairs")
     if pairs.isEmpty():
         return None
-    words = docs.select(F.explode(words_of(text)).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("n_term"))
+    # terms are counted over all rows, which needs no texts moved; what copies add to that is taken off again
+    copied = staged(found.groupBy("mark").agg((F.count("*") - 1).alias("surplus")).where("surplus > 0"), "copied")
+    copies = marked.join(copied, "mark").groupBy("mark").agg(F.first("text").alias("text"), F.first("surplus").alias("surplus"))
+    words = docs.select(F.explode(words_of(text)).alias("term"), F.lit(1).cast("long").alias("n"))
+    words = words.union(copies.select(F.explode(words_of(F.col("text"))).alias("term"), -F.col("surplus")))
+    counts = words.groupBy("term").agg(F.sum("n").alias("n_term"))
     told = pairs.join(counts, "term").where(discloses(F.col("n_entity"), F.col("n_term"), F.col("n_both"), n_texts))
     terms = staged(told.select("entity", "term"), "terms")
     if terms.isEmpty():

@@ -124,6 +124,19 @@ def test_texts_lose_what_reveals_and_nothing_else(spark):
     assert sanitise.sanitised(helpers.empty(spark)).count() == 0
 
 
+def test_copies_of_a_text_hide_no_term(spark):
+    rng = random.Random(12)
+    texts = [helpers.prose(rng, 30) for _ in range(400)]
+    for i in range(6):
+        texts[i] = f"Zorblax of zed@site.org. {texts[i]}"
+    once = {r["doc_id"]: r["text"] for r in sanitise.sanitised(spark.createDataFrame(helpers.rows(texts), helpers.DOCS)).collect()}
+    assert all("Zorblax" not in once[i] and "[TERM]" in once[i] for i in range(6))
+    copies = [(i, t) for i, t in enumerate(texts) for _ in range(100 if i < 6 else 3 if i < 50 else 1)]
+    docs = spark.createDataFrame([(i, t, *[None] * 6) for i, t in copies], helpers.DOCS)
+    many = sanitise.sanitised(docs).collect()
+    assert len(many) == len(copies) and all(r["text"] == once[r["doc_id"]] for r in many)
+
+
 def test_terms_need_more_than_chance(spark):
     cases = [(5, 5, 5, True), (5, 500, 5, False), (100_000, 6, 6, False), (100_000, 120, 120, True), (50, 40, 40, True)]
     rows = spark.createDataFrame(cases, "e long, t long, b long, want boolean")
