@@ -4,8 +4,9 @@ A first pass hashes every element subtree of a page (its tags and text). Spark c
 different content a subtree stands: copies of a page count once, so an article that a host serves at many addresses is no
 template. Subtrees on `PAGES` such pages and the share `SHARE` of the host's or more are its template. A second pass deletes
 them, and the elements that say what they are (menus, footers, forms, scripts, adverts, comments and so on, by tag, role or
-class), and returns what is left of the article; of a page without an `article` or `main` element, of its body. Paragraphs,
-headings and other running text inside an article are never taken for a template.
+a whole class or id), and returns what is left of the article; of a page without an `article` or `main` element, of its body. Paragraphs,
+headings and other running text inside an article are never taken for a template. An element that is or holds an article isn't
+deleted for its class, unless it stands in an article itself.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined by a line break. Both passes read a
 page's tags once, in order, without recursion.
@@ -44,11 +45,11 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 #: Where the search for an element to end stops.
 SCOPE = {"table", "ul", "ol", "dl", "select", "article", "main", "section", "aside", "nav", "body", "html"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Words of a class or id that name a part which isn't the article.
+#: A class or id, as a whole, that names a part which isn't the article.
 SAYS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|pop-?up|modal|overlay|newsletter|subscri\w+|side-?bar|"
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|pop-?up|modal|overlay|newsletter|subscri\w+|side-?bar|"
     r"widgets?|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|share|sharing|social|related|recommend\w*|comments?|commentlist|respond|disqus|"
-    r"footer|masthead|toolbar|login|signup|search|skip)(?:$|[\s_-])",
+    r"footer|masthead|toolbar|login|signup|search|skip)",
     re.I,
 )
 
@@ -69,10 +70,11 @@ def host_of(url: str) -> str:
 class Open:
     """An element whose end hasn't come: where its text begins, and what its subtree's hash is made of."""
 
-    __slots__ = ("tag", "start", "said", "noise", "inside", "holds", "text")
+    __slots__ = ("tag", "start", "said", "noise", "named", "inside", "nested", "holds", "text")
 
-    def __init__(self, tag: str, start: int, noise: bool, inside: bool):
-        self.tag, self.start, self.noise, self.inside = tag, start, noise, inside
+    def __init__(self, tag: str, start: int, noise: bool, named: bool = False, inside: bool = False, nested: bool = False):
+        self.tag, self.start, self.noise, self.named = tag, start, noise, named  # named: noise by its class or id
+        self.inside, self.nested = inside, nested  # in an article or main element; in an article
         self.said: list[str] = []
         self.holds = self.text = False  # an article; any text
 
@@ -87,7 +89,7 @@ class Page:
         self.subtrees: set[int] = set()
         self.content, self.body = 0, 0  # hash of the articles, of all text
         self.drop = drop
-        self.stack = [Open("html", 0, False, False)]
+        self.stack = [Open("html", 0, False)]
         self._candidates: list[tuple[int, bool, bool]] = []
         self._read(html)
         while self.stack:
@@ -139,16 +141,18 @@ class Page:
             return
         top = self.stack[-1]
         inside = top.inside or top.tag in ("article", "main")
+        nested = top.nested or top.tag == "article"
+        named = False
         noise = tag in NOISE or (tag == "header" and not inside)
         if not noise and "=" in rest or "hidden" in rest:
             for name, *values in ATTRIBUTE.findall(rest.rstrip("/>")):
                 value = "".join(values)
                 name = name.lower()
-                noise |= name in ("class", "id") and tag not in ("html", "body", "main") and bool(SAYS.search(value))
+                named |= name in ("class", "id") and tag not in ("html", "body", "main") and any(map(SAYS.fullmatch, value.split()))
                 noise |= name == "role" and value.lower() in ROLES
                 noise |= name == "hidden" or (name == "style" and bool(re.search(r"display\s*:\s*none", value, re.I)))
         if not rest.rstrip(">").endswith("/") or tag in BLOCKS:
-            self.stack.append(Open(tag, len(self.out), noise, inside))
+            self.stack.append(Open(tag, len(self.out), noise, named, inside, nested))
 
     def _up_to(self, names: set[str], scope: set[str]) -> None:
         """Ends the innermost element of these names unless one of the scope stands before it."""
@@ -176,6 +180,8 @@ class Page:
         e = self.stack.pop()
         h = xxhash.xxh64_intdigest(f"{e.tag}\x00" + "\x01".join(e.said))
         h -= (h >> 63) << 64
+        # a class takes no article away but those in an article, such as comments
+        e.noise |= e.named and (e.nested or not (e.holds or e.tag in ("article", "main")))
         root = e.tag in ("article", "main") and not e.noise
         if e.text and not root and not e.holds and e.tag not in ("html", "body", "head"):
             self._candidates.append((h, e.inside, e.tag in PROSE or e.tag not in BLOCKS))

@@ -98,6 +98,17 @@ def test_main_texts(spark):
     assert templates.main_texts(pages.limit(0)).count() == 0
 
 
+def test_a_class_takes_no_article_away():
+    for said in ("content has-sidebar", "no-sidebar page", "single-post sidebar-right", "post comments-open", "search-results", "menu"):
+        for html in (f"<div class='{said}'><article><p>Kept</p></article></div>", f"<article id=x class='{said}'><p>Kept</p></article>", f"<div class='{said}'><main>Kept</main></div>"):
+            assert templates.Page(html).text() == "Kept", html
+    for said in ("content has-sidebar", "no-sidebar page", "single-post sidebar-right", "post comments-open", "search-results"):
+        assert templates.Page(f"<div class='{said}'><p>Kept</p></div>").text() == "Kept"
+    for said in ("ad", "box advertisement", "COMMENTS", "side-bar left"):
+        assert templates.Page(f"<article><p>Kept</p><div class='{said}'>no<article>no</article></div></article>").text() == "Kept"
+        assert templates.Page(f"<p>Kept</p><div class='{said}'>no</div>").text() == "Kept"
+
+
 def test_a_host_of_two_pages_has_no_template(spark):
     rows = [(i, "https://d.org/", f"<div><div>Same block</div><p>Text {i}</p></div>", 0, 0, 0) for i in range(2)]
     got = templates.main_texts(spark.createDataFrame(rows, PAGES)).where(F.col("n_removed") > 0)
