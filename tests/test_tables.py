@@ -189,6 +189,23 @@ def test_stream_loads_each_match_once(spark, tmp_path):
     assert spark.read.parquet(f"{root}/matches").count() == 2
 
 
+def test_stream_keeps_earlier_matches_without_a_date(spark, tmp_path):
+    source, root, check = tmp_path / "in", str(tmp_path / "tables"), str(tmp_path / "check")
+
+    def undated(match_id):
+        record = match(match_id)
+        record["info"]["game_datetime"] = None
+        return record
+
+    drop(source, "1.json", undated("a"))
+    landing.load_matches_stream(spark, str(source), root, check)
+    drop(source, "2.json", undated("a"), undated("b"), match("c"))
+    landing.load_matches_stream(spark, str(source), root, check)
+    got = {n: tables.read_table(spark, root, n).count() for n in tables.TABLES}
+    assert got == {"matches": 3, "participants": 6, "traits": 6, "units": 9}
+    assert [r.loaded_date for r in tables.read_ledger(spark, root).collect()] == [DAY[14]]
+
+
 def test_stream_and_batch_load_share_tables(spark, tmp_path, monkeypatch):
     source, root, check = tmp_path / "in", str(tmp_path / "tables"), str(tmp_path / "check")
     drop(source, "1.json", match("a"), match("b"))
