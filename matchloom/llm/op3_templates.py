@@ -2,7 +2,8 @@
 
 A first pass hashes every element subtree of a page (its tags and text). Spark counts, by host, on how many pages of
 different content a subtree stands: copies of a page count once, so an article that a host serves at many addresses is no
-template. Subtrees on `PAGES` such pages and the share `SHARE` of the host's or more are its template. A second pass deletes
+template. Subtrees on `PAGES` such pages and the share `SHARE` of the host's or more are its template. So is a block that isn't
+running text and has at most half of its page's text, on log2(pages of the host) such pages. A second pass deletes
 them, and the elements that say what they are (menus, footers, forms, scripts, adverts, comments and so on, by tag, role or
 a whole class or id), and returns what is left of the article; of a page without an `article` or `main` element, of its body. Paragraphs,
 headings and other running text inside an article are never taken for a template. An element that is or holds an article isn't
@@ -70,13 +71,14 @@ def host_of(url: str) -> str:
 class Open:
     """An element whose end hasn't come: where its text begins, and what its subtree's hash is made of."""
 
-    __slots__ = ("tag", "start", "said", "noise", "named", "inside", "nested", "holds", "text")
+    __slots__ = ("tag", "start", "said", "noise", "named", "inside", "nested", "holds", "text", "size")
 
     def __init__(self, tag: str, start: int, noise: bool, named: bool = False, inside: bool = False, nested: bool = False):
         self.tag, self.start, self.noise, self.named = tag, start, noise, named  # named: noise by its class or id
         self.inside, self.nested = inside, nested  # in an article or main element; in an article
         self.said: list[str] = []
         self.holds = self.text = False  # an article; any text
+        self.size = 0  # characters of text that isn't noise
 
 
 class Page:
@@ -87,17 +89,21 @@ class Page:
         self.roots: list[tuple[int, int]] = []  # stretches of `out` in articles
         self.main: list[tuple[int, int]] = []
         self.subtrees: set[int] = set()
+        self.parts: set[int] = set()  # those that are blocks beside most of the page's text
         self.content, self.body = 0, 0  # hash of the articles, of all text
         self.drop = drop
         self.stack = [Open("html", 0, False)]
-        self._candidates: list[tuple[int, bool, bool]] = []
+        self.size = 0
+        self._candidates: list[tuple[int, bool, bool, int]] = []
         self._read(html)
         while self.stack:
             self._close()
         has_article = bool(self.roots or self.main)
-        for h, inside, prose in self._candidates:
+        for h, inside, prose, size in self._candidates:
             if not (has_article and inside and prose):
                 self.subtrees.add(h)
+                if not prose and 2 * size <= self.size:
+                    self.parts.add(h)
         self.evidence = self.content or self.body
 
     def _read(self, html: str) -> None:
@@ -128,6 +134,7 @@ class Page:
                 top = self.stack[-1]
                 top.said.append(words)
                 top.text = True
+                top.size += len(words)
 
     def _start(self, tag: str, rest: str) -> None:
         if tag in BLOCKS:
@@ -184,7 +191,7 @@ class Page:
         e.noise |= e.named and (e.nested or not (e.holds or e.tag in ("article", "main")))
         root = e.tag in ("article", "main") and not e.noise
         if e.text and not root and not e.holds and e.tag not in ("html", "body", "head"):
-            self._candidates.append((h, e.inside, e.tag in PROSE or e.tag not in BLOCKS))
+            self._candidates.append((h, e.inside, e.tag in PROSE or e.tag not in BLOCKS, e.size))
         if e.noise or self.drop(h):
             del self.out[e.start :]
             self.roots, self.main = ([r for r in x if r[1] <= e.start] for x in (self.roots, self.main))
@@ -196,11 +203,12 @@ class Page:
         if e.tag in BLOCKS:
             self.out.append(None)
         if not self.stack:
-            self.body = h
+            self.body, self.size = h, e.size
             return
         parent = self.stack[-1]
         parent.said.append(f"\x02{h}")
         parent.text |= e.text
+        parent.size += 0 if e.noise else e.size
         parent.holds |= e.holds or root
 
     def text(self) -> str:
@@ -219,24 +227,25 @@ class Page:
 
 
 def subtrees(rows: DataFrame) -> DataFrame:
-    """row, host, evidence (a hash of the page's content), hashes of the subtrees that may be template. No shuffle."""
+    """row, host, evidence (a hash of the page's content), hashes of the subtrees that may be template, parts among them. No shuffle."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = [Page(html) for html in batch.column(2).to_pylist()]
             hosts = [host_of(u) for u in batch.column(1).to_pylist()]
-            hashes = pa.array([sorted(p.subtrees) for p in pages], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts), pa.array([p.evidence for p in pages], pa.int64()), hashes], names=["row", "host", "evidence", "hashes"])
+            hashes, parts = (pa.array([sorted(x) for x in xs], pa.list_(pa.int64())) for xs in ([p.subtrees for p in pages], [p.parts for p in pages]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts), pa.array([p.evidence for p in pages], pa.int64()), hashes, parts], names=["row", "host", "evidence", "hashes", "parts"])
 
-    return rows.select("row", "url", "html").mapInArrow(each, "row long, host string, evidence long, hashes array<long>")
+    return rows.select("row", "url", "html").mapInArrow(each, "row long, host string, evidence long, hashes array<long>, parts array<long>")
 
 
 def templates(found: DataFrame, pages: int = PAGES, share: float = SHARE) -> DataFrame:
     """host, hash of the subtrees that recur."""
-    each = found.select("host", "evidence", F.explode("hashes").alias("hash")).distinct()
-    often = each.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= pages)
+    marked = F.concat(*[F.transform(c, lambda h: F.struct(h.alias("hash"), F.lit(part).alias("part"))) for c, part in ((F.array_except("hashes", "parts"), 0), (F.col("parts"), 1))])
+    each = found.select("host", "evidence", F.explode(marked).alias("of")).groupBy("host", "evidence", "of.hash").agg(F.max("of.part").alias("part"))
+    often = each.groupBy("host", "hash").agg(F.count("*").alias("n"), F.sum("part").alias("n_part")).where(F.col("n") >= pages)
     hosts = found.select("host", "evidence").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    return often.join(hosts, "host").where(F.col("n") >= share * F.col("of")).select("host", "hash")
+    return often.join(hosts, "host").where((F.col("n") >= share * F.col("of")) | (F.col("n_part") >= F.greatest(F.lit(float(pages)), F.log2("of")))).select("host", "hash")
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = PAGES, share: float = SHARE) -> DataFrame:

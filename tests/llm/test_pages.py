@@ -98,6 +98,18 @@ def test_main_texts(spark):
     assert templates.main_texts(pages.limit(0)).count() == 0
 
 
+def test_boxes_that_rotate_on_a_large_host(spark):
+    line = "<p>By our own staff.</p>"
+    rows = [(i, f"https://e.org/{i}", page(i, f"<div><h1>Title {i}</h1><p>The only body of page {i}.</p>{line if i % 40 == 0 else ''}</div>", extra=f"<div>Advert {i % 30}: buy</div>"), 0, 0, 0) for i in range(3000)]
+    copied = "<div><p>Served at many addresses, a text longer than its boxes.</p></div>"
+    rows += [(i, f"https://e.org/{i}", page(0, copied, extra=f"<div>Advert {i % 30}: buy</div>"), 0, 0, 0) for i in range(3000, 3100)]
+    got = {r["page_id"]: r["text"] for r in templates.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(3000):
+        said = [f"Title {i}", f"The only body of page {i}.", *(["By our own staff."] if i % 40 == 0 else [])]
+        assert got[i] == "\n".join(said)
+    assert {got[i] for i in range(3000, 3100)} == {"Served at many addresses, a text longer than its boxes."}
+
+
 def test_a_class_takes_no_article_away():
     for said in ("content has-sidebar", "no-sidebar page", "single-post sidebar-right", "post comments-open", "search-results", "menu"):
         for html in (f"<div class='{said}'><article><p>Kept</p></article></div>", f"<article id=x class='{said}'><p>Kept</p></article>", f"<div class='{said}'><main>Kept</main></div>"):
