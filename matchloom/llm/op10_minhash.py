@@ -1,7 +1,7 @@
 """Near duplicates by MinHash with sequential Bayesian verification.
 
 A document is the set of its distinct shingles of five words. Documents with equal sets form a class, and only classes
-are compared: copies never meet. A class has `HASHES` minima; `BANDS` bands of `ROWS` minima are its keys, and classes that
+are compared: copies never meet. A class has `HASHES` minima; bands of some of them are its keys, and classes that
 share a key are candidates. A pair of candidates goes through three gates: its minima are compared in batches of `BATCH`,
 and the pair is dropped as soon as the posterior probability that its similarity reaches the threshold falls below
 `MISS` (uniform prior); survivors are verified on the full sets of shingles.
@@ -13,7 +13,9 @@ blocks, and members of different components are compared, through the same gates
 blocks. Only links leave these tasks, and of them only those that join what the task hasn't joined yet. So components
 are those of the full graph of candidates, whatever the size of a bucket.
 
-The chance that a pair at a similarity of 0.85 shares no band is (1 - 0.85^ROWS)^BANDS, below 1e-5; it falls fast above.
+The chance that a pair at a similarity of t shares no band is (1 - t^rows)^bands; `banding` takes as many bands as bring it to
+`MISS` at the threshold: 20 bands of 5 minima at 0.85, 29 or 30 at 0.80. Above, it falls fast. A threshold so low that the
+minima don't suffice is refused.
 
 Rules: A-Z are lower-cased; words are runs without U+0020 and U+0009 to U+000D. Documents of fewer than five words have
 their whole word sequence as one shingle. Documents without words are linked with nothing and are a component each.
@@ -26,7 +28,7 @@ empty table gives no rows.
 
 import hashlib
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,8 @@ from matchloom.llm.shared import small_batches, text_of
 from matchloom.session import staged
 
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS, HASHES, BATCH, MISS = 20, 5, 192, 16, 1e-5
+#: Minima in a band at most, minima of a class, those compared at once, and the chance to miss a link by banding or a gate.
+ROWS, HASHES, BATCH, MISS = 5, 192, 16, 1e-5
 #: Members of a block that are compared with those of another one in a task's memory.
 BLOCK = 256
 #: Bytes of words hashed at once.
@@ -112,12 +115,22 @@ def signature(sets: np.ndarray, coefficients: tuple[np.ndarray, np.ndarray]) ->
     return least
 
 
-def keys_of(sig: np.ndarray) -> np.ndarray:
+def banding(percent: int = PERCENT, miss: float = MISS) -> tuple[int, int]:
+    """Bands and rows of a band such that a pair at the threshold shares no band with the chance `miss` at most."""
+    for rows in range(ROWS, 0, -1):
+        shared = min(max(percent, 0) / 100, 1.0) ** rows
+        bands = 1 if shared == 1 else ceil(log(miss) / log(1 - shared)) if shared else HASHES + 1
+        if bands * rows <= HASHES:
+            return bands, rows
+    raise ValueError(f"{HASHES} minima can't find links at a similarity of {percent} % with a chance of {miss} to miss one")
+
+
+def keys_of(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """The 64-bit key of each band."""
-    rows = sig[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
-    h = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + rows[:, k] + np.uint64(1))
+    part = sig[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    h = np.arange(bands, dtype=np.uint64)
+    for k in range(rows):
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + part[:, k] + np.uint64(1))
     return h.view(np.int64)
 
 
@@ -179,14 +192,15 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.mapInArrow(each, f"doc_id {kind}, mark long, n_shingles long, class binary, signature binary")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
+def buckets(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """key, class, members, hub for each band key that several classes share; hub: the smallest member."""
+    bands, rows_of_band = banding(percent)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs = _signatures(batch.column(1))
-            keys = np.concatenate([keys_of(s) for s in sigs]) if len(sigs) else np.empty(0, np.int64)
-            owner = pa.array(np.repeat(np.arange(len(sigs)), BANDS))
+            keys = np.concatenate([keys_of(s, bands, rows_of_band) for s in sigs]) if len(sigs) else np.empty(0, np.int64)
+            owner = pa.array(np.repeat(np.arange(len(sigs)), bands))
             yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(0).take(owner)], names=["key", "class"])
 
     rows = classes.select("class", "signature").mapInArrow(each, "key long, class binary")
@@ -269,6 +283,8 @@ def across(members: DataFrame, described_classes: DataFrame, levels: list[tuple[
     rows = rows.join(described_classes.select("class", "size", "signature", "shingles"), "class")
     rows = rows.select("key", "to.x", "to.y", F.col("place").alias("lot"), "class", "component", "signature", "size", "shingles").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
 
+    banded = banding(percent)
+
     def compare(table: pa.Table) -> Iterator[tuple[bytes, bytes]]:
         (key, x, y), lot = (table.column(i)[0].as_py() for i in range(3)), table.column(3).to_numpy()
         homes = np.unique(np.array(table.column(5).to_pylist(), object), return_inverse=True)[1]
@@ -277,7 +293,7 @@ def across(members: DataFrame, described_classes: DataFrame, levels: list[tuple[
         if not len(left) or not len(right) or len(np.unique(homes)) < 2:
             return
         names, sigs, sizes = table.column(4), _signatures(table.column(6)), table.column(7).to_numpy()
-        keys = np.stack([keys_of(s) for s in sigs])
+        keys = np.stack([keys_of(s, *banded) for s in sigs])
         sets: dict[int, np.ndarray] = {}
 
         def shingles_of(i: int) -> np.ndarray:
@@ -345,7 +361,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", tex
     levels = gates(percent)
     classes = rows.where("class is not null").groupBy("class").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("size"), F.min(F.struct("doc_id", "mark")).alias("one"))
     classes = staged(classes, "classes")
-    shared = staged(buckets(classes), "buckets")
+    shared = staged(buckets(classes, percent), "buckets")
     weight = shared.groupBy("class").agg(F.sum("members").alias("weight"))
     if weight.isEmpty():
         return None

@@ -43,6 +43,33 @@ def test_buckets_beyond_a_block(spark, monkeypatch):
     assert got == helpers.components(dict(enumerate(texts)))
 
 
+def linked_pairs(texts, percent):
+    sets = [helpers.shingle_set(t) for t in texts]
+    both = {(i, j): len(sets[i] & sets[j]) for j in range(len(sets)) for i in range(j)}
+    return {(i, j) for (i, j), n in both.items() if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n)}
+
+
+@pytest.mark.parametrize("percent", [50, 70])
+def test_lower_thresholds_find_all_pairs(spark, percent):
+    rng = random.Random(percent)
+    texts = [t for _ in range(60) for t in near_copies(rng, 1, 200, 11 if percent == 50 else 6)]
+    pairs = linked_pairs(texts, percent)
+    assert len(pairs) > 20 and all(j == i + 1 and i % 2 == 0 for i, j in pairs)
+    df = spark.createDataFrame(helpers.rows(texts), helpers.DOCS)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, percent=percent).collect()}
+    assert {(c, k) for k, c in got.items() if c != k} == pairs
+
+
+def test_bands_reach_the_stated_chance():
+    assert minhash.banding() == (20, 5)
+    for percent in (100, 95, 85, 80, 70, 50, 30):
+        bands, rows = minhash.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS and bands * rows <= minhash.HASHES
+    for percent in (0, 3):
+        with pytest.raises(ValueError):
+            minhash.banding(percent)
+
+
 def test_one_row_of_each_group_stays_with_its_columns(spark):
     docs = helpers.awkward(spark)
     kept = minhash.deduplicated(docs).collect()
