@@ -227,13 +227,13 @@ class Page:
 
 
 def subtrees(rows: DataFrame) -> DataFrame:
-    """row, host, evidence (a hash of the page's content), hashes of the subtrees that may be template, parts among them. No shuffle."""
+    """row, host, evidence (a hash of the page's content), hashes and parts: hashes of the subtrees that may be template. No shuffle."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = [Page(html) for html in batch.column(2).to_pylist()]
             hosts = [host_of(u) for u in batch.column(1).to_pylist()]
-            hashes, parts = (pa.array([sorted(x) for x in xs], pa.list_(pa.int64())) for xs in ([p.subtrees for p in pages], [p.parts for p in pages]))
+            hashes, parts = (pa.array([sorted(x) for x in xs], pa.list_(pa.int64())) for xs in ([p.subtrees - p.parts for p in pages], [p.parts for p in pages]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts), pa.array([p.evidence for p in pages], pa.int64()), hashes, parts], names=["row", "host", "evidence", "hashes", "parts"])
 
     return rows.select("row", "url", "html").mapInArrow(each, "row long, host string, evidence long, hashes array<long>, parts array<long>")
@@ -241,7 +241,7 @@ def subtrees(rows: DataFrame) -> DataFrame:
 
 def templates(found: DataFrame, pages: int = PAGES, share: float = SHARE) -> DataFrame:
     """host, hash of the subtrees that recur."""
-    marked = F.concat(*[F.transform(c, lambda h: F.struct(h.alias("hash"), F.lit(part).alias("part"))) for c, part in ((F.array_except("hashes", "parts"), 0), (F.col("parts"), 1))])
+    marked = F.concat(*[F.transform(c, lambda h: F.struct(h.alias("hash"), F.lit(part).alias("part"))) for c, part in (("hashes", 0), ("parts", 1))])
     each = found.select("host", "evidence", F.explode(marked).alias("of")).groupBy("host", "evidence", "of.hash").agg(F.max("of.part").alias("part"))
     often = each.groupBy("host", "hash").agg(F.count("*").alias("n"), F.sum("part").alias("n_part")).where(F.col("n") >= pages)
     hosts = found.select("host", "evidence").distinct().groupBy("host").agg(F.count("*").alias("of"))
@@ -259,7 +259,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = pages.select(row.alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("page_url"), text_of(url_col).alias("url"), text_of(html_col).alias("html"))
     found = staged(subtrees(rows), "subtrees")
     recurring = templates(found, least, share)
-    own = found.select("row", "host", F.explode("hashes").alias("hash")).join(recurring, ["host", "hash"])
+    own = found.select("row", "host", F.explode(F.concat("hashes", "parts")).alias("hash")).join(recurring, ["host", "hash"])
     own = own.groupBy("row").agg(F.collect_set("hash").alias("drop"))
     told = rows.join(own, "row", "left").select("page_id", "page_url", "html", "drop")
 
