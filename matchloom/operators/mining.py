@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.boards import sort_units
 from matchloom.functions.scalars import half_even, version_order
-from matchloom.operators.containment import canonical, subsets
+from matchloom.operators.containment import canonical, containing, with_rarest
 from matchloom.operators.skew import largest_per_group
 from matchloom.session import staged
 
@@ -91,18 +91,16 @@ def dedup_comps(comps: DataFrame, order: list[Column], by: list[str] | None = No
     """Drop a composition if one that comes earlier within ``by`` is a subset of it (or equal).
 
     It is enough to look at all earlier rows, kept or not: if the earlier subset was dropped itself,
-    what dropped it is earlier still and a subset too. Subsets are looked up by key, so no two
-    compositions are compared unless one does contain the other.
+    what dropped it is earlier still and a subset too. Equal sets are looked up once, each through the lists of
+    its pairs of units, so no two compositions are compared unless one holds the other's two rarest units.
     """
     by = by or ["game_version"]
     own = comps.withColumn("_order", F.struct(*order)).withColumn("_set", canonical(F.col("itemsets")))
-    first = own.groupBy(*by, "_set").agg(F.min("_order").alias("_first"))
-    sizes = first.agg(F.collect_set(F.size("_set"))).scalar()
-    # Equal sets have equal subsets, so each set looks its subsets up once.
-    part = first.select(*by, "_set", F.explode(subsets(F.col("_set"))).alias("_part"))
-    part = part.filter(F.array_contains(sizes, F.size("_part")))
-    seen = part.join(first.select(*by, F.col("_set").alias("_part"), "_first"), [*by, "_part"])
-    earliest = seen.groupBy(*by, "_set").agg(F.min("_first").alias("_earliest"))
+    first = staged(own.groupBy(*by, "_set").agg(F.min("_order").alias("_first")), "first")
+    sets = first.select(*by, F.col("_set").alias("unit_set"))
+    itemsets = first.select(F.struct(*by, "_set").alias("itemset_id"), *by, F.col("_set").alias("itemset"), "_first")
+    seen = containing(with_rarest(itemsets, sets), sets, by)
+    earliest = seen.groupBy(*by, F.col("unit_set").alias("_set")).agg(F.min("_first").alias("_earliest"))
     kept = own.join(earliest, [*by, "_set"]).filter(F.col("_order") <= F.col("_earliest"))
     kept = kept.groupBy(*by, "_set", "_order").agg(F.first("itemsets").alias("itemsets"), F.first("level").alias("level"))
     return kept.select(*by, "itemsets", "level")

@@ -99,6 +99,9 @@ def match_totals(facts: DataFrame, players: DataFrame) -> DataFrame:
     return facts.groupBy("game_version").agg(F.count_distinct("match_id").alias("matches"))
 
 
+COUNTS = ("n_rows", "n_placed", "place_sum", "n_win", "n_top4")
+
+
 def _counts() -> list[Column]:
     place = F.col("placement")
     return [
@@ -115,10 +118,30 @@ def tally(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.na.drop(subset=keys).groupBy(*keys).agg(*_counts())
 
 
+def tally_and_matches(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Tallies per key and, in the same pass over the facts, one row per version and match, with ``is_tally`` false.
+
+    Both kinds of row are combined in each task before the one shuffle. Rows with a NULL key are left out of the tallies;
+    the matches keep them.
+    """
+    seen = df.groupingSets([keys, ["game_version", "match_id"]], *keys, "match_id")
+    rows = seen.agg((F.grouping("match_id") == 1).alias("is_tally"), *_counts())
+    whole = F.least(*[F.col(k).isNotNull() for k in [*keys, keys[0]]])
+    return rows.filter(F.when(F.col("is_tally"), whole).otherwise(F.col("game_version").isNotNull() & F.col("match_id").isNotNull()))
+
+
+def tallies_of(seen: DataFrame) -> DataFrame:
+    return seen.filter("is_tally").drop("match_id", "is_tally")
+
+
+def totals_of(seen: DataFrame) -> DataFrame:
+    """Distinct matches per version, of the rows of ``tally_and_matches``."""
+    return seen.filter("not is_tally").groupBy("game_version").agg(F.count("*").alias("matches"))
+
+
 def rolled_up(tallies: DataFrame, keys: list[str]) -> DataFrame:
     """Tallies summed to a coarser key."""
-    counts = ("n_rows", "n_placed", "place_sum", "n_win", "n_top4")
-    return tallies.na.drop(subset=keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+    return tallies.na.drop(subset=keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 def mean_place() -> Column:
@@ -164,9 +187,14 @@ def _unit_overall(tallies: DataFrame) -> DataFrame:
 
 def unit_stats(players: DataFrame, units: DataFrame) -> DataFrame:
     """Frequency per player slot, mean placement, win and top-four rate of every unit."""
-    valid = _valid_units(units)
-    totals = match_totals(valid, players)
-    stats = _unit_overall(tally(placed(valid, players), UNIT)).join(totals, "game_version")
+    seen = tally_and_matches(placed(_valid_units(units), players), UNIT)
+    # a version has as many tallies as units are known, so they fit in a list beside its count of matches
+    tallies = F.when(F.col("is_tally"), F.struct(*UNIT[1:], *COUNTS))
+    versions = seen.groupBy("game_version").agg(F.count_if(~F.col("is_tally")).alias("matches"), F.collect_list(tallies).alias("tallies"))
+    rows = versions.select("game_version", "matches", F.inline("tallies"))
+    stats = rows.select(
+        *UNIT, "matches", "n_placed", half_even(mean_place(), 2).alias("avg_place"), win_rate().alias("win"), top4_rate().alias("top4")
+    )
     return stats.select(
         *UNIT,
         half_even(F.col("n_placed") / (F.col("matches") * PLAYERS), 3).alias("frequency"),
@@ -204,9 +232,9 @@ def trait_stats(players: DataFrame, traits: DataFrame, trait_tiers: DataFrame) -
     one row for each.
     """
     valid = traits.filter((F.col("current_tier") > 0) & (F.col("max_tier") > 0))
-    totals = match_totals(valid, players)
     tier = ["game_version", "trait_id", "current_tier"]
-    finest = staged(tally(placed(valid, players), [*tier, "trait_style", "max_tier"]), "traits")
+    seen = staged(tally_and_matches(placed(valid, players), [*tier, "trait_style", "max_tier"]), "traits")
+    finest, totals = tallies_of(seen), totals_of(seen)
     spans = finest.select(*tier, "max_tier").distinct()
     needs = trait_tiers.select("trait_id", F.col("tier").alias("current_tier"), "min_units")
     spans = spans.join(needs, ["trait_id", "current_tier"], "left").withColumn(
@@ -251,10 +279,14 @@ ITEM = ["game_version", "items"]
 
 
 def _item_tallies(players: DataFrame, units: DataFrame) -> DataFrame:
-    """One tally per version, unit and item list: all that the item statistics are made of."""
-    facts = placed(units, players).withColumn("items", F.sort_array("items"))
-    tallies = facts.filter(F.col("game_version").isNotNull()).groupBy(*UNIT, "items").agg(*_counts())
-    return staged(tallies, "items")
+    """One tally per version, unit and item list, and one row per version and match: all that the item statistics are made of.
+
+    ``n_held`` counts the units that hold items.
+    """
+    facts = placed(units, players).withColumns({"items": F.sort_array("items"), "held": F.size("items") > 0})
+    facts = facts.filter(F.col("game_version").isNotNull())
+    seen = facts.groupingSets([[*UNIT, "items"], ["game_version", "match_id"]], *UNIT, "items", "match_id")
+    return staged(seen.agg((F.grouping("match_id") == 1).alias("is_tally"), F.count_if("held").alias("n_held"), *_counts()), "items")
 
 
 def _per_item(lists: DataFrame, keys: list[str]) -> DataFrame:
@@ -302,13 +334,13 @@ def item_top_carriers(
 
     Units with two rarities appear once per rarity, as the unit's own mean is kept per rarity.
     """
-    return _top_carriers(_item_tallies(players, units), n, min_share)
+    return _top_carriers(tallies_of(_item_tallies(players, units)), n, min_share)
 
 
 def item_stats(players: DataFrame, units: DataFrame, n: int = TOP_CARRIERS, min_share: float = MIN_SHARE) -> DataFrame:
     """Frequency, play rate, outcome, type and top carriers of every finished item."""
-    totals = match_totals(units.filter(F.size("items") > 0), players)
-    lists = _item_tallies(players, units)
+    seen = _item_tallies(players, units)
+    lists, totals = tallies_of(seen), totals_of(seen.filter("is_tally or (n_held > 0 and match_id is not null)"))
     carriers = (
         _top_carriers(lists, n, min_share)
         .groupBy(*ITEM)

@@ -244,6 +244,25 @@ SQL["item_scatter"] = (
     + f"SELECT items, avg_place, frequency FROM item_stats WHERE game_version = '{NEW_VERSION}' AND type = '{TYPE_ORDER[0]}'"
 )
 
+# Over loaded units: without summons, and placed by a left join with the participants that are there.
+LOADED_FACTS = f"""
+  facts AS (
+    SELECT p.game_version, CASE WHEN p.puuid % 13 <> 0 THEN p.placement END AS placement, u.* FROM units u
+    JOIN players p ON u.match_id = p.match_id AND u.puuid = p.puuid WHERE character_id NOT IN ({quoted(SUMMONS)}))"""
+
+
+def loaded(sql: str) -> str:
+    assert CTE["facts"] in sql
+    return sql.replace(CTE["facts"], LOADED_FACTS)
+
+
+for _name in ("item_build_stats", "item_stats"):
+    SQL[f"loaded_{_name}"] = loaded(SQL[_name])
+SQL["loaded_unit_stats"] = loaded(SQL["basic_unit_stats"])
+SQL["loaded_trait_stats"] = SQL["trait_stats"].replace(
+    "SELECT p.game_version, p.placement, t.* FROM traits t", "SELECT p.game_version, CASE WHEN p.puuid % 13 <> 0 THEN p.placement END AS placement, t.* FROM traits t"
+)
+
 SQL["load_matches_view"] = with_("matches") + "SELECT * FROM matches"
 SQL["load_participants_view"] = with_("players") + "SELECT * FROM players"
 SQL["load_units_view"] = (
@@ -255,6 +274,8 @@ SQL["load_units_view"] = (
 FROM units u JOIN players p ON u.match_id = p.match_id AND u.puuid = p.puuid
 WHERE character_id NOT IN ({quoted(SUMMONS)})"""
 )
+BY_TEXT = "SELECT * REPLACE (CAST(match_id AS VARCHAR) AS match_id, CAST(puuid AS VARCHAR) AS puuid) FROM"
+SQL["stored_units_view"] = f"{BY_TEXT} ({SQL['load_units_view']})"
 SQL["load_traits_view"] = (
     with_("players", "traits")
     + """SELECT game_version, t.* FROM traits t JOIN players p ON t.match_id = p.match_id AND t.puuid = p.puuid"""
@@ -535,6 +556,7 @@ SQL["comps"] = (
        {text("combine_full_units")} AS combine_full_units, {text("combine_active_traits")} AS combine_active_traits,
        {text("combine_full_traits")} AS combine_full_traits, has_emblem, {text("emblems")} AS emblems FROM comps"""
 )
+SQL["stored_comps"] = f"{BY_TEXT} ({SQL['comps']})"
 SQL["legal_comps_by_units"] = (
     comps_with(
         UNIT_TRAITS,

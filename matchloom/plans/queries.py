@@ -5,6 +5,7 @@ Lists come out as joined text, so that results compare the same in any engine.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from matchloom.functions.scalars import half_even
 from matchloom.operators import acquire, comps, evolution, mining, normalise, outcome, quality, report, skew
 from matchloom.schemas import BOARD, UNIT_LIST
 from matchloom.session import shared_path, staged
-from matchloom.sources import dims, frames, landed, sample, tables
+from matchloom.sources import dims, frames, landed, sample, snapshots, tables
 from matchloom.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +110,75 @@ def load_traits_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The same over stored tables
+
+
+def stored(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The test views as tables of four run dates: bucketed by match, published by two commits of which the second replaces the first."""
+    root = shared_path(spark, "store")
+    views = {"matches": sample.matches, "participants": sample.participants, "traits": sample.traits, "units": sample.units}
+    rows = {}
+    for name, view in views.items():
+        df = view(spark, sf)
+        columns = [(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in tables.TABLES[name].fields]
+        rows[name] = df.select(*columns, F.date_add(F.lit("2024-01-01"), (df["match_id"] % 4).cast("int")).alias("run_date"))
+    days = [datetime.date(2024, 1, d) for d in (1, 2, 3, 4)]
+    for part in (days[:1], days):
+        commit = snapshots.Commit(spark, root, part)
+        tables.write_all({name: df.filter(F.col("run_date").isin(part)) for name, df in rows.items()}, commit)
+        commit.publish(replaces=True)
+    return {name: tables.read_table(spark, root, name) for name in rows}
+
+
+def _loaded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Players of whom every thirteenth is missing, and the loaded units and traits of all boards."""
+    held = stored(spark, sf)
+    people, matches = held["participants"], held["matches"]
+    some = frames.load_participants(people, matches).filter(F.col("puuid").cast("long") % 13 != 0)
+    units = frames.load_units(held["units"], people, matches, summons=sample.SUMMONS, slot_order=sample.SLOT_ORDER)
+    return some, units, frames.load_traits(held["traits"], people, matches)
+
+
+@query
+def loaded_unit_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of loaded units without summons; units without a participant stay, without a placement."""
+    some, units, _ = _loaded(spark, sf)
+    return outcome.unit_stats(some, units)
+
+
+@query
+def loaded_item_build_stats(spark: SparkSession, sf: str) -> DataFrame:
+    some, units, _ = _loaded(spark, sf)
+    return outcome.item_build_stats(some, units)
+
+
+@query
+def loaded_item_stats(spark: SparkSession, sf: str) -> DataFrame:
+    some, units, _ = _loaded(spark, sf)
+    return outcome.item_stats(some, units).withColumn("top_units", text("top_units.character_id"))
+
+
+@query
+def loaded_trait_stats(spark: SparkSession, sf: str) -> DataFrame:
+    some, _, traits = _loaded(spark, sf)
+    return outcome.trait_stats(some, traits, sample.trait_tiers(spark))
+
+
+@query
+def stored_units_view(spark: SparkSession, sf: str) -> DataFrame:
+    return _loaded(spark, sf)[1].withColumn("items", text("items"))
+
+
+@query
+def stored_comps(spark: SparkSession, sf: str) -> DataFrame:
+    """Compositions of the stored tables, whose boards are never shuffled."""
+    held = stored(spark, sf)
+    people = frames.load_participants(held["participants"], held["matches"])
+    units = normalise.drop_summons(held["units"], sample.SUMMONS)
+    built = comps.build_comps(people, units, held["traits"], sample.trait_tiers(spark), sample.emblem_traits(spark))
+    return built.withColumns({c: text(c) for c in LISTS})
+
+
 # Normalisation
 
 

@@ -21,6 +21,8 @@ def spark_session(app: str = "matchloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # tables are bucketed by match, which joins by board may use
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
