@@ -5,8 +5,7 @@ compared. Two linked sets overlap in T shingles or more, T from their sizes. A s
 set's shingles and divides them: the L longest are put aside, the short ones are merged by a heap, which skips what can't
 occur T - L times in them, and the candidates found are probed by binary search in the long lists. Those that reach their T are links.
 
-Spark finds which sets have to meet. Shingles have one order for all documents: by hash, but those that stand in many prefixes come
-last. Of linked sets the first n - T + l shingles, the prefix, share l or more (l = `SHORT`, or T if that is less). Classes that share no
+Spark finds which sets have to meet. Shingles have one order for all documents: rare ones first. Of linked sets the first n - T + l shingles, the prefix, share l or more (l = `SHORT`, or T if that is less). Classes that share no
 such shingle with any other are done. The others get a home block, by the shingle of their prefix that most others share;
 a block that would hold more than `BLOCK` shingles is dealt into lots. A class goes to each block with which it
 shares l prefix shingles, never to single partners. Two blocks that have to meet are a unit: one task builds the inverted index of the one and
@@ -15,8 +14,8 @@ the unit hadn't joined yet; never all pairs. So a task holds two blocks, whateve
 lost: each pair of sets of a group of m is decided in one of its (m / block)^2 / 2 units.
 
 The order is free to choose, since any order gives the same links. A first pass counts, over all documents, in how many classes' prefixes
-by hash alone a shingle stands; those in `OFTEN` or more, and in a share of 1 / `HOT` of all prefix rows, at most `HOT` by
-that share, are put last.
+by hash alone a shingle stands. Those that stand in several come last, the more the later; `HOT` are told apart at most, the most
+frequent ones.
 
 Rules: A-Z are lower-cased; words are runs without U+0020 and U+0009 to U+000D. Documents of fewer than four words have
 their whole word sequence as one shingle. Documents without words are linked with nothing and are a component each.
@@ -43,8 +42,8 @@ from matchloom.llm.words import Letters, mixed, shingle_set, spaced_words, texts
 from matchloom.session import staged
 
 SHINGLE, PERCENT = 4, 85
-#: Shared shingles that prefixes must have, shingles in a block, the classes that make a shingle frequent, and the bound of frequent ones.
-SHORT, BLOCK, OFTEN, HOT = 3, 1 << 17, 16, 1 << 21
+#: Shared shingles that prefixes must have, shingles in a block, and the bound of shingles that are told apart by their frequency.
+SHORT, BLOCK, HOT = 3, 1 << 17, 1 << 21
 #: Weighs heap against probes: L = T / (WEIGHT * log2(longest list) + 1).
 WEIGHT = 0.0085
 #: Classes whose names are broadcast to find their texts; beyond, the texts are joined.
@@ -56,15 +55,24 @@ def least_overlap(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
-def prefix_of(sets: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles, first in the common order, of which linked sets share `SHORT` or, if less, their least overlap."""
-    rank = mixed(sets ^ np.uint64(0x5851F42D4C957F2D))
-    last = np.zeros(len(sets), bool)
-    if len(often):
-        at = np.minimum(np.searchsorted(often, sets), len(often) - 1)
-        last = often[at] == sets
-    least = -(-percent * len(sets) // 100)
-    return sets[np.lexsort((rank, last))[: len(sets) - least + min(SHORT, least)]]
+class Order:
+    """The order of shingles that all documents share: by how often they were seen, in powers of two, then by hash."""
+
+    def __init__(self, shingles: np.ndarray, levels: np.ndarray):
+        by = np.argsort(shingles)
+        self.shingles, self.levels = shingles[by], levels[by]
+
+    def prefix(self, sets: np.ndarray, percent: int) -> np.ndarray:
+        """The first shingles, of which linked sets share `SHORT` or, if less, their least overlap."""
+        level = np.zeros(len(sets), np.int8)
+        if len(self.shingles):
+            at = np.minimum(np.searchsorted(self.shingles, sets), len(self.shingles) - 1)
+            level = np.where(self.shingles[at] == sets, self.levels[at], 0)
+        least = -(-percent * len(sets) // 100)
+        return sets[np.lexsort((mixed(sets ^ np.uint64(0x5851F42D4C957F2D)), level))[: len(sets) - least + min(SHORT, least)]]
+
+
+BY_HASH = Order(np.empty(0, np.uint64), np.empty(0, np.int8))
 
 
 class Index:
@@ -152,35 +160,35 @@ def _sets(column: pa.Array, letters: Letters) -> Iterator[np.ndarray]:
         yield shingle_set(spaced_words(raw, letters), SHINGLE)
 
 
-def described(docs: DataFrame, often: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
+def described(docs: DataFrame, order: Order, id_col: str, text_col: str, percent: int) -> DataFrame:
     """doc_id, mark (a hash of the text), n_shingles, class and prefix (null without words) of each document. No shuffle."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), text_of(text_col).alias("text"))
-    frequent = docs.sparkSession.sparkContext.broadcast(often)
+    shared = docs.sparkSession.sparkContext.broadcast(order)  # HOT shingles at most
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = Letters()
+        letters, order = Letters(), shared.value
         for batch in batches:
             size, name, prefix = [], [], []
             for sets in _sets(batch.column(2).cast(pa.string()), letters):
                 size.append(len(sets))
                 name.append(hashlib.blake2b(sets.tobytes(), digest_size=16).digest() if len(sets) else None)
-                prefix.append(prefix_of(sets, frequent.value, percent).view(np.int64) if len(sets) else None)
+                prefix.append(order.prefix(sets, percent).view(np.int64) if len(sets) else None)
             columns = [pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "mark", "n_shingles", "class", "prefix"])
 
     return rows.mapInArrow(each, f"doc_id {kind}, mark long, n_shingles long, class binary, prefix array<long>")
 
 
-def frequent(rows: DataFrame) -> np.ndarray:
-    """The shingles that stand in many classes' prefixes, in ascending order; at most `HOT`."""
+def order_of(rows: DataFrame) -> Order:
+    """Puts last the shingles that stand in several classes' prefixes, the more the later; at most `HOT` of them are told apart."""
     of_class = rows.where("class is not null").dropDuplicates(["class"])
     lists = staged(of_class.select(F.explode("prefix").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "lists")
     total = lists.agg(F.sum("n")).first()[0] or 0
     # no more than HOT shingles can stand in 1 / HOT of all rows each
-    often = lists.where(F.col("n") >= max(OFTEN, -(-total // HOT))).select("shingle").toArrow()
-    return np.sort(often.column(0).to_numpy().view(np.uint64))
+    often = lists.where(F.col("n") >= -(-total // HOT)).select("shingle", F.floor(F.log2("n")).cast("byte").alias("level")).toArrow()
+    return Order(often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy())
 
 
 def meetings(classes: DataFrame) -> DataFrame:
@@ -202,7 +210,7 @@ def meetings(classes: DataFrame) -> DataFrame:
 
 
 def with_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """class, size, weight, shingles: the sorted hashes of each class, from the text of its document `one`."""
+    """class, size, weight, shingles: the sorted hashes of each class, from the text of its document `one`; twice if that row is repeated."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_mark"), text_of(text_col).alias("text"))
     ones = classes.select("class", F.col("n_shingles").alias("size"), "weight", F.col("one.doc_id").alias("one"), F.col("one.mark").alias("mark"))
     ones = F.broadcast(ones) if classes.count() <= NAMES else ones
@@ -214,14 +222,16 @@ def with_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: st
             sets = pa.array([s.tobytes() for s in _sets(batch.column(3).cast(pa.string()), letters)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], names=["class", "size", "weight", "shingles"])
 
-    # rows repeated with their id and text give the same class again
-    return found.mapInArrow(each, "class binary, size long, weight long, shingles binary").dropDuplicates(["class"])
+    return found.mapInArrow(each, "class binary, size long, weight long, shingles binary")
 
 
 def links_of_unit(table: pa.Table, percent: int) -> pa.Table:
     """a, b: links that join what wasn't joined; a, n with a null b: the documents of other classes that a is linked with here."""
-    side, weight = table.column("side").to_numpy(), table.column("weight").to_numpy()
     names = table.column("class").to_pylist()
+    if len(set(names)) < len(names):
+        table = table.take(pa.array(sorted({name: i for i, name in enumerate(names)}.values())))
+        names = table.column("class").to_pylist()
+    side, weight = table.column("side").to_numpy(), table.column("weight").to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
     by_size = np.argsort([len(s) for s in sets], kind="stable")
     inner = by_size[side[by_size] == 0]
@@ -262,8 +272,8 @@ def linked_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links), n_links (documents it is linked with) of every document."""
-    first = staged(described(docs, np.empty(0, np.uint64), id_col, text_col, percent).select("class", "prefix"), "by_hash")
-    rows = staged(described(docs, frequent(first), id_col, text_col, percent), "described")
+    first = staged(described(docs, BY_HASH, id_col, text_col, percent).select("class", "prefix"), "by_hash")
+    rows = staged(described(docs, order_of(first), id_col, text_col, percent), "described")
     links = staged(linked_classes(docs, rows, id_col, text_col, percent), "links")
     edges = links.where("b is not null").select("a", "b")
     worded = rows.where("class is not null").select("doc_id", "n_shingles", "class")

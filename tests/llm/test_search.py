@@ -58,7 +58,7 @@ def test_join_is_that_of_all_pairs(spark, monkeypatch, block):
     texts += near_copies(rng, 60, 250, 1) + near_copies(rng, 40, 120, 3) + texts[:10] + [t.upper() for t in texts[:10]]
     rng.shuffle(texts)
     monkeypatch.setattr(join, "BLOCK", block)
-    monkeypatch.setattr(join, "OFTEN", 8)
+    monkeypatch.setattr(join, "HOT", 500)
     df = spark.createDataFrame(helpers.rows(texts), helpers.DOCS)
     want = classes_and_links(list(enumerate(texts)))
     assert max(w[3] for w in want) > 30
@@ -99,12 +99,12 @@ def test_index_finds_all_linked_sets(sets, percent):
 @given(st.lists(st.sets(st.integers(1, 40), min_size=1, max_size=20), min_size=2, max_size=8))
 def test_linked_sets_share_prefixes(sets):
     sets = [np.array(sorted(s), np.uint64) for s in sets]
-    often = np.array([3, 5, 8, 20], np.uint64)
+    order = join.Order(np.array([20, 3, 5, 8], np.uint64), np.array([1, 4, 1, 2], np.int8))
     for a in sets:
         for b in sets:
             if 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)):
                 least = min(join.SHORT, -(-85 * len(a) // 100))
-                assert len(np.intersect1d(join.prefix_of(a, often, 85), join.prefix_of(b, often, 85))) >= least
+                assert len(np.intersect1d(order.prefix(a, 85), order.prefix(b, 85))) >= least
 
 
 def thue_morse(n, letters):
