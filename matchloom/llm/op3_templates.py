@@ -5,9 +5,13 @@ different content a subtree stands: copies of a page count once, so an article t
 template. Subtrees on `PAGES` such pages and the share `SHARE` of the host's or more are its template. So is a block that isn't
 running text and has at most half of its page's text, on log2(pages of the host) such pages. A second pass deletes
 them, and the elements that say what they are (menus, footers, forms, scripts, adverts, comments and so on, by tag, role or
-a whole class or id), and returns what is left of the article; of a page without an `article` or `main` element, of its body. Paragraphs,
-headings and other running text inside an article are never taken for a template. An element that is or holds an article isn't
-deleted for its class, unless it stands in an article itself.
+a whole class or id), and returns what is left of the article; of a page without an `article` or `main` element, of its body.
+
+What stands in an article is the page's own text, however often it recurs on the host, unless its tag, role or class says otherwise. A
+class takes no element away that is or holds an article, but those in an article itself, nor one that has more than half of the page's
+text, but reader comments. If nothing is left of a page, classes don't count, then forms don't either.
+
+A host's templates are sent to all tasks if there are `TOLD` or fewer in all; beyond, pages are joined with theirs.
 
 Text is decoded, white space inside a block becomes one space, and blocks are joined by a line break. Both passes read a
 page's tags once, in order, without recursion.
@@ -22,6 +26,7 @@ from collections.abc import Callable, Iterator
 from html import unescape
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +36,8 @@ from matchloom.llm.shared import small_batches, text_of
 from matchloom.session import staged
 
 PAGES, SHARE = 3, 0.05
+#: Template subtrees of all hosts that are broadcast at most: 8 bytes each and the names of their hosts.
+TOLD = 500_000
 
 #: HTML's element names by what they are here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +61,9 @@ SAYS = re.compile(
     re.I,
 )
 
+#: Of these, a class that takes even most of a page's text away.
+READERS = re.compile(r"comments?|commentlist|respond|disqus", re.I)
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>|[^>]*(?:>|\Z))",
     re.S,
@@ -71,10 +81,10 @@ def host_of(url: str) -> str:
 class Open:
     """An element whose end hasn't come: where its text begins, and what its subtree's hash is made of."""
 
-    __slots__ = ("tag", "start", "said", "noise", "named", "inside", "nested", "holds", "text", "size")
+    __slots__ = ("tag", "start", "said", "noise", "named", "readers", "inside", "nested", "holds", "text", "size")
 
-    def __init__(self, tag: str, start: int, noise: bool, named: bool = False, inside: bool = False, nested: bool = False):
-        self.tag, self.start, self.noise, self.named = tag, start, noise, named  # named: noise by its class or id
+    def __init__(self, tag: str, start: int, noise: bool, named: bool = False, readers: bool = False, inside: bool = False, nested: bool = False):
+        self.tag, self.start, self.noise, self.named, self.readers = tag, start, noise, named, readers  # named: noise by its class or id
         self.inside, self.nested = inside, nested  # in an article or main element; in an article
         self.said: list[str] = []
         self.holds = self.text = False  # an article; any text
@@ -82,9 +92,15 @@ class Open:
 
 
 class Page:
-    """What one reading of a page finds. `drop` tells whether a subtree hash is to be deleted."""
+    """What one reading of a page finds.
 
-    def __init__(self, html: str, drop: Callable[[int], bool] = lambda h: False):
+    `drop` tells whether a subtree hash is to be deleted; `classes` and `forms`, whether they take elements away.
+    """
+
+    def __init__(self, html: str, drop: Callable[[int], bool] = lambda h: False, classes: bool = True, forms: bool = True):
+        self.classes, self.forms = classes, forms
+        self.noted: list[tuple[int, int, int]] = []  # stretches of `out` that go for a class if they aren't most of the page
+        self.open: dict[str, int] = {}  # elements on the stack by tag
         self.out: list[str | None] = []  # text, None between blocks
         self.roots: list[tuple[int, int]] = []  # stretches of `out` in articles
         self.main: list[tuple[int, int]] = []
@@ -100,10 +116,13 @@ class Page:
             self._close()
         has_article = bool(self.roots or self.main)
         for h, inside, prose, size in self._candidates:
-            if not (has_article and inside and prose):
+            if not (has_article and inside):
                 self.subtrees.add(h)
                 if not prose and 2 * size <= self.size:
                     self.parts.add(h)
+        for start, end, size in self.noted:
+            if 2 * size <= self.size:
+                self.out[start:end] = [None] * (end - start)
         self.evidence = self.content or self.body
 
     def _read(self, html: str) -> None:
@@ -149,20 +168,25 @@ class Page:
         top = self.stack[-1]
         inside = top.inside or top.tag in ("article", "main")
         nested = top.nested or top.tag == "article"
-        named = False
-        noise = tag in NOISE or (tag == "header" and not inside)
+        named = readers = False
+        noise = (tag in NOISE and (self.forms or tag != "form")) or (tag == "header" and not inside)
         if not noise and "=" in rest or "hidden" in rest:
             for name, *values in ATTRIBUTE.findall(rest.rstrip("/>")):
                 value = "".join(values)
                 name = name.lower()
-                named |= name in ("class", "id") and tag not in ("html", "body", "main") and any(map(SAYS.fullmatch, value.split()))
-                noise |= name == "role" and value.lower() in ROLES
+                if self.classes and name in ("class", "id") and tag not in ("html", "body", "main"):
+                    named |= any(map(SAYS.fullmatch, value.split()))
+                    readers |= any(map(READERS.fullmatch, value.split()))
+                noise |= name == "role" and value.lower() in ROLES and (self.forms or value.lower() != "form")
                 noise |= name == "hidden" or (name == "style" and bool(re.search(r"display\s*:\s*none", value, re.I)))
         if not rest.rstrip(">").endswith("/") or tag in BLOCKS:
-            self.stack.append(Open(tag, len(self.out), noise, named, inside, nested))
+            self.stack.append(Open(tag, len(self.out), noise, named, readers, inside, nested))
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def _up_to(self, names: set[str], scope: set[str]) -> None:
         """Ends the innermost element of these names unless one of the scope stands before it."""
+        if not any(self.open.get(name) for name in names):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in names:
                 while len(self.stack) > i:
@@ -175,6 +199,8 @@ class Page:
         if tag in BLOCKS:
             self.out.append(None)
         inline = tag not in BLOCKS
+        if not self.open.get(tag):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 while len(self.stack) > i:
@@ -185,16 +211,22 @@ class Page:
 
     def _close(self) -> None:
         e = self.stack.pop()
+        if self.stack:
+            self.open[e.tag] -= 1
         h = xxhash.xxh64_intdigest(f"{e.tag}\x00" + "\x01".join(e.said))
         h -= (h >> 63) << 64
         # a class takes no article away but those in an article, such as comments
-        e.noise |= e.named and (e.nested or not (e.holds or e.tag in ("article", "main")))
-        root = e.tag in ("article", "main") and not e.noise
+        named = e.named and (e.nested or not (e.holds or e.tag in ("article", "main")))
+        e.noise |= named and e.readers
+        root = e.tag in ("article", "main") and not e.noise and not named
         if e.text and not root and not e.holds and e.tag not in ("html", "body", "head"):
             self._candidates.append((h, e.inside, e.tag in PROSE or e.tag not in BLOCKS, e.size))
         if e.noise or self.drop(h):
             del self.out[e.start :]
             self.roots, self.main = ([r for r in x if r[1] <= e.start] for x in (self.roots, self.main))
+            self.noted = [x for x in self.noted if x[1] <= e.start]
+        elif named:
+            self.noted.append((e.start, len(self.out), e.size))
         elif root:
             kept = self.roots if e.tag == "article" else self.main
             kept[:] = [r for r in kept if r[0] < e.start]
@@ -226,6 +258,11 @@ class Page:
         return "\n".join(blocks)
 
 
+def main_text(html: str, drop: Callable[[int], bool] = lambda h: False) -> str:
+    """The text of a page; classes, then forms, count for what they say only as long as something is left."""
+    return Page(html, drop).text() or Page(html, drop, classes=False).text() or Page(html, drop, classes=False, forms=False).text()
+
+
 def subtrees(rows: DataFrame) -> DataFrame:
     """row, host, evidence (a hash of the page's content), hashes and parts: hashes of the subtrees that may be template. No shuffle."""
 
@@ -251,23 +288,51 @@ def templates(found: DataFrame, pages: int = PAGES, share: float = SHARE) -> Dat
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url, text, n_chars, n_removed (template subtrees of the host on the page) of every page.
 
-    Pages are shuffled once, by a hash of the row. Of the subtrees, only hashes are.
+    Of the subtrees, only hashes are shuffled. Pages are shuffled only if there are too many templates to send them to the tasks.
     """
     small_batches(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
     row = F.xxhash64(F.col(id_col), F.col(url_col), F.col(html_col))
     rows = pages.select(row.alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("page_url"), text_of(url_col).alias("url"), text_of(html_col).alias("html"))
     found = staged(subtrees(rows), "subtrees")
-    recurring = templates(found, least, share)
+    recurring = staged(templates(found, least, share), "templates")
+
+    def texts(batch: pa.RecordBatch, drops: list[set[int]]) -> pa.RecordBatch:
+        out, removed = [], []
+        for html, drop in zip(batch.column(2).to_pylist(), drops, strict=True):
+            page = Page(html, drop.__contains__)
+            out.append(page.text() or main_text(html, drop.__contains__))
+            removed.append(len(drop & (page.subtrees | page.parts)))
+        counts = [pa.array(x, pa.int64()) for x in ([len(t) for t in out], removed)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), *counts], names=["page_id", "url", "text", "n_chars", "n_removed"])
+
+    schema = f"page_id {kind}, url string, text string, n_chars long, n_removed long"
+    if is_small(recurring, TOLD):
+        told = recurring.sort("host").toArrow()
+        of_host: dict[str, list[int]] = {}
+        for host, h in zip(told.column(0).to_pylist(), told.column(1).to_pylist(), strict=True):
+            of_host.setdefault(host, []).append(h)
+        shared = pages.sparkSession.sparkContext.broadcast({host: np.array(x) for host, x in of_host.items()})
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sets: dict[str, set[int]] = {}
+            for batch in batches:
+                for host in (hosts := [host_of(u) for u in batch.column(3).to_pylist()]):
+                    if host not in sets:
+                        sets[host] = set(shared.value.get(host, np.empty(0)).tolist())
+                yield texts(batch, [sets[host] for host in hosts])
+
+        return rows.select("page_id", "page_url", "html", "url").mapInArrow(each, schema)
     own = found.select("row", "host", F.explode(F.concat("hashes", "parts")).alias("hash")).join(recurring, ["host", "hash"])
     own = own.groupBy("row").agg(F.collect_set("hash").alias("drop"))
-    told = rows.join(own, "row", "left").select("page_id", "page_url", "html", "drop")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            drops = [set(d or ()) for d in batch.column(3).to_pylist()]
-            texts = [Page(html, d.__contains__).text() for html, d in zip(batch.column(2).to_pylist(), drops, strict=True)]
-            counts = [pa.array([len(x) for x in xs], pa.int64()) for xs in (texts, drops)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *counts], names=["page_id", "url", "text", "n_chars", "n_removed"])
+            yield texts(batch, [set(d or ()) for d in batch.column(3).to_pylist()])
+
+    return rows.join(own, "row", "left").select("page_id", "page_url", "html", "drop").mapInArrow(extract, schema)
+
 
-    return told.mapInArrow(extract, f"page_id {kind}, url string, text string, n_chars long, n_removed long")
+def is_small(df: DataFrame, rows: int) -> bool:
+    """True if there are at most so many rows; reads no more than that."""
+    return df.limit(rows + 1).count() <= rows

@@ -125,3 +125,39 @@ def test_a_host_of_two_pages_has_no_template(spark):
     rows = [(i, "https://d.org/", f"<div><div>Same block</div><p>Text {i}</p></div>", 0, 0, 0) for i in range(2)]
     got = templates.main_texts(spark.createDataFrame(rows, PAGES)).where(F.col("n_removed") > 0)
     assert got.count() == 0
+
+
+def test_an_article_keeps_what_recurs_in_it(spark):
+    same = "<ul><li>Preheat the oven</li><li>Wait</li></ul><div>Same method as before.</div>"
+    rows = [(i, f"https://r.org/{i}", page(i, f"<article><h1>Cake {i}</h1><p>Take {i} eggs.</p>{same}<div class='ad'>Buy</div></article>"), 0, 0, 0) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in templates.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Cake {i}\nTake {i} eggs.\nPreheat the oven\nWait\nSame method as before." for i in range(4)}
+
+
+def test_a_class_or_form_leaves_most_of_a_page():
+    for html in (
+        "<div class='post social'><p>Body text</p></div>", "<div id='search'><p>Body text</p></div>", "<div class='notice'>Body text</div>",
+        "<form><div><p>Body text</p><script>no</script></div></form>", "<body><div role=form><form><p>Body text</p></form></div>",
+        "<article><div class='social'><p>Body text</p></div></article>",
+    ):
+        assert templates.main_text(html) == "Body text", html
+    long = "<p>A reader's remark, longer than the text.</p>" * 5
+    assert templates.main_text(f"<p>Short</p><div class='comments'>{long}</div>") == "Short"
+    assert templates.main_text(f"<article><p>Short</p><section id=comments>{long}</section></article>") == "Short"
+    assert templates.main_text("<p>The text</p><div class=social>share</div><form>mail</form>") == "The text"
+
+
+def test_both_ways_to_delete_templates(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    told = sorted((tuple(r) for r in templates.main_texts(pages).collect()), key=repr)
+    monkeypatch.setattr(templates, "TOLD", 0)
+    assert sorted((tuple(r) for r in templates.main_texts(pages).collect()), key=repr) == told
+
+
+def test_open_elements_are_not_searched_in_vain():
+    import time
+
+    begun = time.process_time()
+    for html in ("<i>" * 30000 + "<hr>" * 30000 + "x", "<i>" * 30000 + "</b>" * 30000 + "x"):
+        assert templates.Page(html).text() == "x"
+    assert time.process_time() - begun < 10
