@@ -4,7 +4,7 @@ A document is the set of its distinct shingles of five words. Documents with equ
 are compared: copies never meet. A class has `HASHES` minima; bands of some of them are its keys, and classes that
 share a key are candidates. A pair of candidates goes through three gates: its minima are compared in batches of `BATCH`,
 and the pair is dropped as soon as the posterior probability that its similarity reaches the threshold falls below
-`MISS` (uniform prior); survivors are verified on the full sets of shingles.
+the gate's part of `MISS` (uniform prior); survivors are verified on the full sets of shingles.
 
 No bucket is expanded into all its pairs. The members of a bucket are first compared with two hubs: the smallest member
 and the member that shares most buckets in sum. The links found are closed into components in Spark, by large-star and
@@ -32,11 +32,11 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchloom.llm.op4_decontamination import Powers, _buffers
 from matchloom.llm.shared import small_batches, text_of
+from matchloom.llm.words import Letters, mixed, shingle_set, spaced_words, texts_of
 from matchloom.session import staged
 
 SHINGLE, PERCENT = 5, 85
@@ -44,60 +44,10 @@ SHINGLE, PERCENT = 5, 85
 ROWS, HASHES, BATCH, MISS = 5, 192, 16, 1e-5
 #: Members of a block that are compared with those of another one in a task's memory.
 BLOCK = 256
-#: Bytes of words hashed at once.
-SLICE = 1 << 20
-
-_MIX = np.uint64(0xD6E8FEB86659FD93)
-
-
-def _folded() -> np.ndarray:
-    """For each byte its lower-case form, 0 for white space. A zero byte counts as 1 in hashes by being shifted up."""
-    table = np.arange(256, dtype=np.uint16)
-    table[0x41:0x5B] += 0x20
-    table += 1
-    table[[0x20, *range(0x09, 0x0E)]] = 0
-    return table
-
-
-FOLDED = _folded()
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
-    return h ^ (h >> np.uint64(32))
-
-
-def words(raw: np.ndarray, powers: Powers) -> np.ndarray:
-    """64-bit hashes of a text's words in order."""
-    low = FOLDED[raw]
-    inside = np.zeros(len(low) + 2, bool)
-    inside[1:-1] = low != 0
-    edge = np.flatnonzero(inside[1:] != inside[:-1])
-    a, b = edge[::2], edge[1::2]
-    out, at = np.empty(len(a), np.uint64), 0
-    while at < len(a):
-        to = max(at + 1, int(np.searchsorted(b, a[at] + SLICE, side="right")))
-        base, n = a[at], int(b[to - 1] - a[at])
-        if n > len(powers.up):
-            powers = Powers(n)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(low[base : base + n].astype(np.uint64) * powers.up[:n], out=total[1:])
-        out[at:to] = mixed((total[b[at:to] - base] - total[a[at:to] - base]) * powers.down[a[at:to] - base])
-        at = to
-    return out
-
 
-def shingles(raw: np.ndarray, powers: Powers, size: int = SHINGLE) -> np.ndarray:
+def shingles(raw: np.ndarray, letters: Letters, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    w = words(raw, powers)
-    if not len(w):
-        return w
-    n, take = max(1, len(w) - size + 1), min(size, len(w))
-    h = np.full(n, take, np.uint64)
-    for k in range(take):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + w[k : k + n])
-    return np.unique(h)
+    return shingle_set(spaced_words(raw, letters), size)
 
 
 def _coefficients() -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +84,8 @@ def keys_of(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def gates(percent: int = PERCENT, miss: float = MISS) -> list[tuple[int, int]]:
-    """(minima compared, least agreements that keep the pair) after each batch.
+def gates(percent: int = PERCENT, miss: float = MISS * BATCH / HASHES) -> list[tuple[int, int]]:
+    """(minima compared, least agreements that keep the pair) after each batch; all gates together miss at most `MISS`.
 
     With a uniform prior, m agreements in n make the similarity a Beta(m+1, n-m+1), whose mass above t is P(Bin(n+1, t) <= m).
     """
@@ -178,12 +128,11 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"), text_of(text_col).alias("text"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, coefficients = Powers(SLICE), _coefficients()
+        letters, coefficients = Letters(), _coefficients()
         for batch in batches:
-            raw, at = _buffers(batch.column(2).cast(pa.string()))
             size, name, sig = [], [], []
-            for i in range(batch.num_rows):
-                sets = shingles(raw[at[i] : at[i + 1]], powers)
+            for raw in texts_of(batch.column(2).cast(pa.string())):
+                sets = shingles(raw, letters)
                 size.append(len(sets))
                 name.append(hashlib.blake2b(sets.tobytes(), digest_size=16).digest() if len(sets) else None)
                 sig.append(signature(sets, coefficients).tobytes() if len(sets) else None)
@@ -345,10 +294,9 @@ def with_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: st
     found = rows.join(ones, rows["id"].eqNullSafe(ones["one"]) & (rows["text_mark"] == ones["mark"])).select("class", "text")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers(SLICE)
+        letters = Letters()
         for batch in batches:
-            raw, at = _buffers(batch.column(1).cast(pa.string()))
-            sets = [shingles(raw[at[i] : at[i + 1]], powers).tobytes() for i in range(batch.num_rows)]
+            sets = [shingles(raw, letters).tobytes() for raw in texts_of(batch.column(1).cast(pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["class", "shingles"])
 
     # rows repeated with their id and text give the same class again
@@ -400,18 +348,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` with one document for each component, with all their columns."""
     found = staged(near_duplicates(docs, id_col, text_col, percent), "near")
-    gone = found.where("not kept and component_id is not null").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    mark = F.xxhash64(docs[text_col])
-    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (mark == gone["_mark"]), "left_anti")
-    again = found.where("n_shingles > 0 and (kept or component_id is null)").groupBy("doc_id", "component_id").agg(F.count("*").alias("n"), F.min("mark").alias("mark")).where("n > 1")
+    # a row goes as one value, so that no name of its columns meets one of these
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("mark"))
+
+    def same(of: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(of["doc_id"]) & (rows["mark"] == of["doc_mark"])
+
+    gone = found.where("not kept and component_id is not null").select("doc_id", F.col("mark").alias("doc_mark")).distinct()
+    kept = rows.join(gone, same(gone), "left_anti")
+    worded = found.where("n_shingles > 0")
+    again = worded.where("kept or component_id is null").groupBy("doc_id", "component_id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     if again.isEmpty():
-        return kept
+        return kept.select("row.*")
     # rows that share id and component, of which any one stays
-    again = staged(again.select(F.col("doc_id").alias("_id"), F.col("component_id")), "again")
-    marks = found.join(again, found["doc_id"].eqNullSafe(again["_id"]) & found["component_id"].eqNullSafe(again["component_id"]), "left_semi").where("n_shingles > 0")
-    marks = marks.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("component_id").alias("_component")).distinct()
-    same = docs[id_col].eqNullSafe(marks["_id"]) & (mark == marks["_mark"])
-    single = kept.join(marks, same, "left_anti")
-    several = docs.join(marks, same)
-    one = several.groupBy("_id", "_component").agg(F.first(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
-    return single.union(one.select("row.*"))
+    again = staged(again.select(F.col("doc_id").alias("again_id"), F.col("component_id").alias("again_component")), "again")
+    of_again = worded["doc_id"].eqNullSafe(again["again_id"]) & worded["component_id"].eqNullSafe(again["again_component"])
+    marks = worded.join(again, of_again, "left_semi").select("doc_id", F.col("mark").alias("doc_mark"), F.col("component_id").alias("component")).distinct()
+    single = kept.join(marks, same(marks), "left_anti").select("row")
+    one = rows.join(marks, same(marks)).groupBy("doc_id", "component").agg(F.first("row").alias("row")).select("row")
+    return single.union(one).select("row.*")

@@ -26,13 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.llm.shared import small_batches, text_of
+from matchloom.llm.words import Letters
 
 WIDTH, ONE_IN, DEPTH = 13, 20, 16
 #: Bytes of text in a shard, of words hashed at once, and of item text in a broadcast block.
 SHARD, SLICE, BLOCK = 16 << 20, 1 << 20, 4 << 20
 
-_BASE, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
-
 
 def _folded() -> np.ndarray:
     """For each byte its lower-case word character, or 0. In UTF-8 all bytes of U+0080 and above are 0x80 and above."""
@@ -45,17 +44,8 @@ def _folded() -> np.ndarray:
 FOLDED = _folded()
 
 
-class Powers:
-    """Powers of an odd base modulo 2^64 and of its inverse."""
-
-    def __init__(self, n: int):
-        self.up, self.down = (self._of(b, n) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-
-    @staticmethod
-    def _of(base: int, n: int) -> np.ndarray:
-        factors = np.full(n, base, np.uint64)
-        factors[0] = 1
-        return np.multiply.accumulate(factors)
+#: The name by which callers get what words are hashed with; its argument is the number of bytes hashed at once.
+Powers = Letters
 
 
 def words_of(data: np.ndarray, starts_of: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
@@ -76,20 +66,7 @@ def words_of(data: np.ndarray, starts_of: np.ndarray, powers: Powers) -> tuple[n
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
     a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = np.empty(len(a), np.uint64)
-    at = 0
-    while at < len(a):
-        to = max(at + 1, int(np.searchsorted(b, a[at] + SLICE, side="right")))
-        base, n = a[at], int(b[to - 1] - a[at])
-        if n > len(powers.up):
-            powers = Powers(n)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(low[base : base + n].astype(np.uint64) * powers.up[:n], out=total[1:])
-        s = a[at:to] - base
-        h = (total[b[at:to] - base] - total[s]) * powers.down[s]
-        h = (h ^ (h >> np.uint64(32))) * _MIX
-        hashes[at:to] = h ^ (h >> np.uint64(29))
-        at = to
+    hashes = powers.hashes(low, a, b)
     return hashes, np.searchsorted(a, starts_of, side="left")
 
 

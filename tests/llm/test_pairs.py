@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from matchloom.llm import op2_edit_embedding as embedding
+from matchloom.llm import op4_decontamination as decontamination
 from matchloom.llm import op10_minhash as minhash
 from tests.llm import helpers
 
@@ -139,3 +140,27 @@ def test_walk_by_hand(text):
     assert len(begin) == len(text) + 1 and (np.diff(begin) >= 1).all()
     whole = walk.begin(classes[: len(text) // 2])
     assert (begin[: len(whole)] == whole).all()
+
+
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+def test_words_of_like_structure_are_not_linked(spark):
+    """Sums over powers of a base, modulo 2^64, can't tell these words apart."""
+    a, b = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    long = [f"{w} with some more words" for w in (a, b)]
+    docs = spark.createDataFrame(helpers.rows([a, b, *long]), helpers.DOCS)
+    assert all(r["component_id"] == r["doc_id"] for r in minhash.near_duplicates(docs).collect())
+    assert minhash.deduplicated(docs).count() == 4
+    benchmark = spark.createDataFrame([(1, b)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontamination.report(docs, benchmark).where("contaminated").collect()] == [1, 3]
+
+
+def test_columns_named_like_the_operators_own(spark):
+    names = ["_id", "_mark", "_component", "row", "id", "mark", "doc_mark", "component", "n"]
+    texts = ["one two three four five six", "one two three four five six", "another text"]
+    rows = [(i, t, *range(len(names))) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[2]], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    kept = minhash.deduplicated(docs)
+    assert kept.schema == docs.schema and sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
