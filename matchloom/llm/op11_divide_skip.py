@@ -29,6 +29,7 @@ import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 from math import log2
 
 import numpy as np
@@ -225,6 +226,23 @@ def with_shingles(docs: DataFrame, classes: DataFrame, id_col: str, text_col: st
     return found.mapInArrow(each, "class binary, size long, weight long, shingles binary")
 
 
+def of_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each unit, which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        unit = batch.column(0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
+        for begin, end in pairwise(edges):
+            if held and held[0].column(0)[0].as_py() != unit[begin]:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def links_of_unit(table: pa.Table, percent: int) -> pa.Table:
     """a, b: links that join what wasn't joined; a, n with a null b: the documents of other classes that a is linked with here."""
     names = table.column("class").to_pylist()
@@ -262,12 +280,15 @@ def linked_classes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str,
     units = met.groupBy("high", "low").agg(F.count("*").alias("members")).where("members > 1").select("high", "low")
     met = met.join(staged(units, "units"), ["high", "low"])
     sets = staged(with_shingles(docs, staged(classes.drop("prefix").join(met.select("class").distinct(), "class"), "needed"), id_col, text_col), "sets")
-    members = met.join(sets, "class").select("high", "low", "side", "class", "weight", "shingles")
+    name = F.concat_ws("/", "high.key", "high.lot", "low.key", "low.lot")
+    members = met.join(sets, "class").select(name.alias("unit"), "side", "class", "weight", "shingles")
+    members = members.repartition("unit").sortWithinPartitions("unit")
 
-    def each(unit: pa.Table) -> pa.Table:
-        return links_of_unit(unit, percent)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in of_units(batches):
+            yield from links_of_unit(unit, percent).to_batches()
 
-    return members.groupBy("high", "low").applyInArrow(each, "a binary, b binary, n long")
+    return members.mapInArrow(each, "a binary, b binary, n long")
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
