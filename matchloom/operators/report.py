@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchloom.functions.scalars import half_even, version_order
+from matchloom.functions.scalars import half_even
 from matchloom.operators.skew import largest_per_group
 from matchloom.session import staged
 
@@ -17,36 +15,56 @@ OVERPOWERED_PLAY_RATE = 1
 BETTER_PLACE = 4.5
 
 
-def performance_tiers(stats: DataFrame, features: list[str] | None = None, seed: int = 1) -> DataFrame:
-    """Five k-means clusters per version, named S to D by their mean placement.
+def _distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x)
 
-    ``stats`` is a finished statistic with one row per unit and version, so the rows of a version are
-    few; fewer distinct rows than tiers give fewer tiers.
+
+def grouped_kmeans(rows: DataFrame, groups: list[str], features: list[str], k: int, most: int = 100) -> DataFrame:
+    """Add ``cluster``: k-means within each group, all groups at once.
+
+    Features are scaled to their group's mean and spread. A group starts from k of its distinct points, evenly spaced in their
+    order, and takes part in a step, which is one join with the groups' few centres and one aggregate, until no row of any group
+    changes its cluster. So the number of jobs is that of the slowest group's steps, whatever the number of groups.
+    Fewer distinct points than k give as many clusters.
     """
-    features = features or FEATURES
-    known = staged(stats.na.drop(subset=["game_version", *features]), "tiers")
-    vector = VectorAssembler(inputCols=features, outputCol="raw")
-    scale = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
-    tiered = None
-    versions = [r[0] for r in known.select("game_version").distinct().orderBy(*version_order()).collect()]
-    for version in versions:
-        rows = vector.transform(known.filter(F.col("game_version") == version))
-        rows = scale.fit(rows).transform(rows)
-        k = min(len(TIERS), rows.select("features").distinct().limit(len(TIERS)).count())
-        if k > 1:
-            model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(rows)
-            rows = model.transform(rows)
-        else:
-            rows = rows.withColumn("cluster", F.lit(0))
-        rows = rows.drop("raw", "features")
-        tiered = rows if tiered is None else tiered.unionByName(rows)
-    if tiered is None:
-        return known.withColumn("performance_tier", F.lit(None).cast("string"))
-    means = tiered.groupBy("game_version", "cluster").agg(F.avg("avg_place").alias("mean_place"))
-    ranked = largest_per_group(means, ["game_version"], [F.asc("mean_place"), F.asc("cluster")], len(TIERS), "place")
+    spread = rows.groupBy(*groups).agg(*[F.avg(f).alias(f"_mean_{f}") for f in features], *[F.stddev_samp(f).alias(f"_sd_{f}") for f in features])
+    point = F.array(*[F.when(F.col(f"_sd_{f}") > 0, (F.col(f) - F.col(f"_mean_{f}")) / F.col(f"_sd_{f}")).otherwise(0.0) for f in features])
+    points = staged(rows.join(spread, groups).select(*rows.columns, point.alias("_point"), F.lit(-1).alias("cluster")), "points")
+    in_order = Window.partitionBy(*groups).orderBy("_point")
+    distinct = points.select(*groups, "_point").distinct()
+    distinct = distinct.withColumns({"_i": F.row_number().over(in_order) - 1, "_n": F.count("*").over(Window.partitionBy(*groups))})
+    of = F.least(F.lit(k), F.col("_n"))
+    # with step = n / of, the points at step / 2, 3 step / 2, ...
+    chosen = F.floor((2 * F.floor(F.col("_i") * of / F.col("_n")) + 1) * F.col("_n") / (2 * of))
+    starts = distinct.filter(F.col("_i") == chosen)
+    centres = starts.groupBy(*groups).agg(F.sort_array(F.collect_list(F.struct(F.col("_i").cast("int").alias("id"), F.col("_point").alias("at")))).alias("_centres"))
+    for _ in range(most):
+        near = F.transform("_centres", lambda c: F.struct(_distance(F.col("_point"), c["at"]).alias("away"), c["id"].alias("id")))
+        after = points.join(staged(centres, "centres"), groups).withColumn("_to", F.array_min(near)["id"])
+        after = staged(after.select(*rows.columns, "_point", F.col("cluster").alias("_was"), F.col("_to").alias("cluster")), "points")
+        points = after.drop("_was")
+        if after.filter("_was != cluster").isEmpty():
+            break
+        means = points.groupBy(*groups, "cluster").agg(*[F.avg(F.col("_point")[i]).alias(f"_{i}") for i in range(len(features))])
+        at = F.array(*[F.col(f"_{i}") for i in range(len(features))])
+        centres = means.groupBy(*groups).agg(F.sort_array(F.collect_list(F.struct(F.col("cluster").alias("id"), at.alias("at")))).alias("_centres"))
+    return points.drop("_point")
+
+
+def performance_tiers(stats: DataFrame, features: list[str] | None = None, groups: list[str] | None = None) -> DataFrame:
+    """Five k-means clusters per version, or per other ``groups``, named S to D by their mean placement.
+
+    ``stats`` is a finished statistic with one row per unit, composition or the like and group. Rows without a
+    group or a feature are left out; fewer distinct rows than tiers give fewer tiers.
+    """
+    features, groups = features or FEATURES, groups or ["game_version"]
+    known = staged(stats.na.drop(subset=[*groups, *features]), "tiers")
+    tiered = grouped_kmeans(known, groups, features, len(TIERS))
+    means = tiered.groupBy(*groups, "cluster").agg(F.avg("avg_place").alias("mean_place"))
+    ranked = largest_per_group(means, groups, [F.asc("mean_place"), F.asc("cluster")], len(TIERS), "place")
     names = F.element_at(F.array(*[F.lit(t) for t in TIERS]), F.col("place"))
-    named = ranked.select("game_version", "cluster", names.alias("performance_tier"))
-    return tiered.join(named, ["game_version", "cluster"]).drop("cluster")
+    named = ranked.select(*groups, "cluster", names.alias("performance_tier"))
+    return tiered.join(named, [*groups, "cluster"]).drop("cluster")
 
 
 def tier_facts(tiered: DataFrame, features: list[str] | None = None, slack: float = 1e-9) -> DataFrame:

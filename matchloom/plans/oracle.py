@@ -11,7 +11,7 @@ from matchloom.operators.outcome import (
     SUPPORT_ITEMS,
     TYPE_ORDER,
 )
-from matchloom.plans.queries import FPGROWTH_SUPPORT, NEW_VERSION, OLD_VERSION, REPORT_LEVELS
+from matchloom.plans.queries import FORECAST_BOARDS, FPGROWTH_SUPPORT, NEW_VERSION, OLD_VERSION, REPORT_LEVELS
 from matchloom.sources.sample import BAD_DAYS, MARKER, MAX_LEVEL, SPECIAL_ITEMS, SUMMONS, TRAIT_NEEDS, UNITS_KNOWN
 
 
@@ -792,3 +792,53 @@ SELECT day, event_type, count(placement) AS frequency, {r("avg(placement)", 2)}
 FROM placed GROUP BY ALL"""
 SQL["stream_load_dedup"] = """
 SELECT DISTINCT event_type || '-' || CAST(event_id % 997 AS VARCHAR) AS match_id FROM events"""
+
+
+SQL["landed_drift"] = """
+WITH years AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS run_year, count(*) FILTER (WHERE o_orderkey % 5 = 0) AS n FROM orders GROUP BY ALL)
+SELECT run_year, 'info.game_length' AS path, 'retyped' AS problem, 'string' AS found, 'double' AS expected, NULL::BIGINT AS n_rows
+FROM years WHERE run_year % 4 = 1
+UNION ALL SELECT run_year, 'info.tft_set_number', 'missing', NULL, 'int', NULL FROM years WHERE run_year % 4 = 2
+UNION ALL SELECT run_year, 'info.extras[].kind', 'added', 'bigint', NULL, NULL FROM years WHERE run_year % 4 = 3
+UNION ALL SELECT run_year, '', 'does not parse', NULL, NULL, n FROM years WHERE run_year % 4 = 0 AND n > 0"""
+
+SQL["stream_dedup_state"] = SQL["stream_load_dedup"]
+SQL["stream_daily_rates"] = f"""
+WITH e AS (SELECT CAST(ts AS DATE) AS day, event_type, event_id // 8 AS match_no, user_id % 8 + 1 AS placement FROM events),
+  m AS (SELECT day, count(DISTINCT match_no) AS matches FROM e GROUP BY ALL)
+SELECT e.day, event_type, any_value(matches) AS matches, {r("count(*) / (any_value(matches) * 8)", 3)} AS frequency,
+  {r("count(*) / any_value(matches)", 2)} AS play_rate, {r("avg(placement)", 2)} AS avg_place
+FROM e JOIN m ON e.day = m.day GROUP BY e.day, event_type"""
+
+SQL["comp_tiers_hold"] = f"""
+SELECT game_version, level, itemsets, play_rate, avg_place, win, top4, true AS nearest, true AS in_order FROM ({SQL["comp_stats"]})
+WHERE play_rate IS NOT NULL AND avg_place IS NOT NULL AND win IS NOT NULL AND top4 IS NOT NULL"""
+
+STRENGTHS = f"""
+  strength AS (
+    SELECT game_version, CAST(split_part(game_version, '.', 1) AS INTEGER) * 1000 + CAST(split_part(game_version, '.', 2) AS INTEGER) AS v, level,
+      list_sort(list_distinct(combine_units)) AS itemsets, avg(placement) AS place
+    FROM comps GROUP BY ALL HAVING count(placement) >= {FORECAST_BOARDS}),
+  numbered_versions AS (SELECT v, row_number() OVER (ORDER BY v) AS no FROM (SELECT DISTINCT
+      CAST(split_part(game_version, '.', 1) AS INTEGER) * 1000 + CAST(split_part(game_version, '.', 2) AS INTEGER) AS v FROM comps)),
+  numbered_strength AS (SELECT s.*, no FROM strength s JOIN numbered_versions n ON s.v = n.v),
+  pairs AS (
+    SELECT s.no, s.place, b.place AS last_place FROM numbered_strength s
+    JOIN numbered_strength b ON b.no = s.no - 1 AND b.level = s.level AND b.itemsets = s.itemsets),
+  newest AS (SELECT max(no) AS no FROM numbered_strength)"""
+SQL["comp_forecast"] = (
+    comps_with(STRENGTHS)
+    + f"""SELECT game_version, level, {text("itemsets")} AS itemsets, {r("place", 6)} AS place,
+  {r("place * (SELECT regr_slope(place, last_place) FROM pairs) + (SELECT regr_intercept(place, last_place) FROM pairs)", 6)} AS expected_place
+FROM numbered_strength WHERE no = (SELECT no FROM newest) AND (SELECT count(*) FROM pairs) >= 2"""
+)
+SQL["comp_forecast_error"] = (
+    comps_with(
+        STRENGTHS,
+        """
+  line AS (SELECT regr_slope(place, last_place) AS a, regr_intercept(place, last_place) AS b FROM pairs WHERE no < (SELECT no FROM newest))""",
+    )
+    + f"""SELECT count(*) AS n_tested, {r("any_value(a)", 6)} AS slope, {r("any_value(b)", 6)} AS intercept,
+  {r("sqrt(avg((place - (a * last_place + b)) ** 2))", 6)} AS error, {r("sqrt(avg((place - last_place) ** 2))", 6)} AS error_unchanged
+FROM pairs, line WHERE no = (SELECT no FROM newest)"""
+)

@@ -10,12 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchloom.functions.boards import id_prefix, normalise_tiers, unit_tiers, without_tier
 from matchloom.functions.literals import parse_failed, parse_literal
 from matchloom.functions.scalars import half_even
-from matchloom.operators import acquire, comps, evolution, mining, normalise, outcome, quality, report, skew
-from matchloom.schemas import BOARD, UNIT_LIST
+from matchloom.operators import acquire, comps, evolution, forecast, mining, normalise, outcome, quality, report, skew
+from matchloom.schemas import BOARD, RAW_MATCH, UNIT_LIST
 from matchloom.session import shared_path, staged
 from matchloom.sources import dims, frames, landed, sample, snapshots, tables
 from matchloom.streaming import landing
@@ -25,6 +26,9 @@ QUERIES: dict[str, Query] = {}
 
 OLD_VERSION, NEW_VERSION = "15.8", "15.9"
 REPORT_LEVELS = (4, 5, 6)
+# The test boards rarely hold one unit set twice.
+FORECAST_BOARDS = 1
+HEADER_SCHEMA = T.StructType([RAW_MATCH["metadata"], T.StructField("info", T.StructType([f for f in RAW_MATCH["info"].dataType.fields if f.name != "participants"]))])
 
 
 def query(function: Query) -> Query:
@@ -354,6 +358,29 @@ def unknown_ids(spark: SparkSession, sf: str) -> DataFrame:
     return quality.unknown_ids(sample.units(spark, sf), sample.unit_traits(spark), "character_id")
 
 
+@query
+def landed_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers landed as JSON by year: one year has a key too many, one lacks a key, one has text for a number, one broken lines."""
+    rows = sample.table(spark, sf, "orders").select(F.year("o_orderdate").alias("run_year"), "o_orderkey")
+    kind = F.col("run_year") % 4
+    info = F.struct(
+        F.lit(1100).alias("queue_id"),
+        (F.col("o_orderkey") + 1_700_000_000_000).alias("game_datetime"),
+        F.when(kind == 1, F.lit("1500.5")).alias("text_length"),
+        F.when(kind != 1, F.lit(1500.5)).alias("game_length"),
+        F.lit("15.8").alias("game_version"),
+        F.when(kind != 2, F.lit(14)).alias("tft_set_number"),
+        F.when(kind == 3, F.array(F.struct(F.lit(1).alias("kind")))).alias("extras"),
+    )
+    metadata = F.struct(F.concat(F.lit("M"), "o_orderkey").alias("match_id"))
+    line = F.replace(F.to_json(F.struct(metadata.alias("metadata"), info.alias("info"))), F.lit("text_length"), F.lit("game_length"))
+    broken = (kind == 0) & (F.col("o_orderkey") % 5 == 0)
+    path = shared_path(spark, "lines")
+    rows.select("run_year", F.when(broken, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.partitionBy("run_year").text(path)
+    landed_lines = spark.read.schema("value string, run_year int").text(path)
+    return quality.nested_drift(landed_lines, HEADER_SCHEMA, "run_year")
+
+
 # Incremental load
 
 
@@ -661,6 +688,41 @@ def performance_tiers_hold(spark: SparkSession, sf: str) -> DataFrame:
     return report.tier_facts(performance_tiers(spark, sf)).drop("performance_tier")
 
 
+def _comp_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcome of every frequent composition; one that no board holds has no row."""
+    built, freq = _dedup(spark, sf)
+    catalog = staged(evolution.comp_catalog(built), "catalog")
+    totals = built.groupBy("game_version").agg(F.count_distinct("match_id").alias("matches"))
+    found = evolution.comp_outcomes(catalog, staged(freq, "freq"), totals)
+    return found.select("itemset_id.*", "play_rate", "avg_place", "win", "top4")
+
+
+COMP_FEATURES = ["avg_place", "play_rate", "win", "top4"]
+
+
+@query
+def comp_tiers_hold(spark: SparkSession, sf: str) -> DataFrame:
+    """Tiers of compositions by version, and what SQL can repeat of them."""
+    tiered = report.performance_tiers(_comp_outcomes(spark, sf).withColumn("itemsets", text("itemsets")), COMP_FEATURES)
+    return report.tier_facts(tiered, COMP_FEATURES).drop("performance_tier")
+
+
+@query
+def comp_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Placement to expect of the last version's compositions in the next one."""
+    found = forecast.forecast(forecast.strengths(_comps(spark, sf), FORECAST_BOARDS))
+    if found is None:
+        return spark.createDataFrame([], "game_version string, level int, itemsets string, place double, expected_place double")
+    return found.select("game_version", "level", text("itemsets").alias("itemsets"), half_even(F.col("place"), 6).alias("place"), half_even(F.col("expected_place"), 6).alias("expected_place"))
+
+
+@query
+def comp_forecast_error(spark: SparkSession, sf: str) -> DataFrame:
+    """The line fitted without the last version, and its error there."""
+    found = forecast.held_out_error(forecast.strengths(_comps(spark, sf), FORECAST_BOARDS))
+    return found.select("n_tested", *[half_even(F.col(c), 6).alias(c) for c in ("slope", "intercept", "error", "error_unchanged")])
+
+
 # Streams
 
 
@@ -687,21 +749,54 @@ def stream_daily_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _event_files(spark: SparkSession, sf: str, n: int = 3) -> DataFrame:
+    """The events as a stream of ``n`` batches, a file each; neighbouring events come in different ones."""
+    events = sample.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = shared_path(spark, "events")
+    for part in range(n):
+        events.filter(F.col("event_id") % n == part).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query
 def stream_load_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Ids seen on the stream, each once, however often and in whatever batch they come."""
+    """Ids seen on the stream, each once, however often and in whatever of the three batches they come.
+
+    State is kept for a millisecond, so repeats across batches come after it has expired and are found by the look-up.
+    """
     ids = F.concat("event_type", F.lit("-"), (F.col("event_id") % 997).cast("string"))
-    stream = _event_stream(spark, sf).select(ids.alias("match_id"))
+    stream = _event_files(spark, sf).select(ids.alias("match_id"))
     path = shared_path(spark, "ids")
+    landing.load_new_keys(stream, ["match_id"], path, shared_path(spark, "ids-checkpoint"), ttl_ms=1)
+    return spark.read.parquet(path).select("match_id")
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        earlier = landing._earlier(batch.sparkSession, path, "match_id string", batch_id)
-        landing._write_batch(landing.new_keys(batch, earlier, ["match_id"]), path, batch_id, [])
 
-    landing.run_available(stream, shared_path(spark, "ids-checkpoint"), each_batch)
+@query
+def stream_dedup_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ids by kept state alone, which no repeat of the three batches outlives."""
+    ids = F.concat("event_type", F.lit("-"), (F.col("event_id") % 997).cast("string"))
+    stream = landing.first_of_keys(_event_files(spark, sf).select(ids.alias("match_id")), ["match_id"], 3_600_000)
+    path = shared_path(spark, "ids")
+    landing.run_available(stream, shared_path(spark, "ids-checkpoint"), lambda batch, i: landing._write_batch(batch, path, i, []), state=True)
     return spark.read.parquet(path).select("match_id")
 
 
+@query
+def stream_daily_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Play rates of event types per day, over matches that come up in several of the three batches."""
+    stream = _event_files(spark, sf).withColumns({"placement": (F.col("user_id") % 8 + 1).cast("int"), "match_no": F.expr("event_id div 8")})
+    path, keys = shared_path(spark, "rates"), ["event_type"]
+    landing.run_daily_rates(stream, "ts", keys, "placement", "match_no", path, shared_path(spark, "rates-checkpoint"), least=2)
+    return landing.daily_rates(spark, path, keys).select(
+        "day",
+        *keys,
+        "matches",
+        half_even(F.col("n_rows") / (F.col("matches") * outcome.PLAYERS), 3).alias("frequency"),
+        half_even(F.col("n_rows") / F.col("matches"), 2).alias("play_rate"),
+        half_even(outcome.mean_place(), 2).alias("avg_place"),
+    )
+
+
 @query
 def stream_load_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Load matches from JSON files in three batches with repeats within and across them, then a landed day.
