@@ -46,14 +46,15 @@ def needs_lookup(trait_tiers: DataFrame) -> Column | None:
     if found is None:
         return None
     needs: dict[str, list[int]] = {}
-    for r in sorted(found, key=lambda r: r["tier"]):
+    for r in sorted(found, key=lambda r: (r["tier"] is None, r["tier"] or 0, r["min_units"] is None, r["min_units"] or 0)):  # NULLs last
         needs.setdefault(r["trait_id"], []).append(r["min_units"])
     return _constant(needs, "array<int>")
 
 
 def thresholds(trait_tiers: DataFrame) -> DataFrame:
     """Per trait the unit counts that reach a tier, in tier order. The lists are as long as the tiers."""
-    listed = F.array_sort(F.collect_list(F.struct("tier", "min_units")))
+    # a tier without a number comes last, as in `needs_lookup`
+    listed = F.array_sort(F.collect_list(F.struct(F.col("tier").isNull().alias("unknown"), "tier", "min_units")))
     return (
         trait_tiers.groupBy("trait_id")
         .agg(listed.alias("tiers"))

@@ -497,6 +497,9 @@ SELECT 'T_Item_P' || CAST(p_partkey AS VARCHAR) || 'EmblemItem' AS item_id,
        CASE WHEN p_partkey % 2 = 0 THEN b.trait_id END AS trait_id
 FROM part p LEFT JOIN brand_ids b ON p.p_brand = b.trait_name WHERE p_partkey % 3 = 0"""
 )
+for _name in ("dim_unit_traits", "dim_emblems"):
+    assert BRAND_IDS in SQL[_name]
+    SQL[f"{_name}_of_facts"] = SQL[_name].replace(BRAND_IDS, BRAND_IDS.replace("% 2 = 0", "% 4 = 0"))
 SQL["dim_version"] = (
     with_("matches")
     + """SELECT game_version || '.1' AS reference_version FROM matches

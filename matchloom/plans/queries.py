@@ -338,7 +338,7 @@ def orphan_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def group_size_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Days of the event table that do not have exactly eight users' worth of events per type."""
+    """Users and days of the event table that do not have exactly eight events."""
     events = sample.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     return quality.wrong_group_sizes(events, ["day", "user_id"], 8)
 
@@ -488,24 +488,48 @@ def dim_trait_tiers(spark: SparkSession, sf: str) -> DataFrame:
     return dims.trait_dimension(_sets(spark, sf), sample.traits(spark, sf), names)
 
 
-@query
-def dim_unit_traits(spark: SparkSession, sf: str) -> DataFrame:
+def _unit_traits_dim(spark: SparkSession, sf: str, traits: DataFrame | None = None) -> DataFrame:
     names = sample.table(spark, sf, "part").select(
         F.col("p_partkey").alias("position"),
         F.concat(F.lit("T14_U"), (F.col("p_partkey") % 10).cast("string")).alias("id"),
         F.col("p_name").alias("name"),
     )
-    found = dims.unit_dimension(_sets(spark, sf), sample.units(spark, sf), names, _trait_names(spark, sf))
+    found = dims.unit_dimension(_sets(spark, sf), sample.units(spark, sf), names, _trait_names(spark, sf), traits)
     return found.withColumn("traits", text("traits"))
 
 
-@query
-def dim_emblems(spark: SparkSession, sf: str) -> DataFrame:
+def _emblems_dim(spark: SparkSession, sf: str, traits: DataFrame | None = None) -> DataFrame:
     items = sample.table(spark, sf, "part").select(
         F.expr("concat('T_Item_P', p_partkey, if(p_partkey % 3 = 0, 'EmblemItem', ''))").alias("id"),
         F.expr("concat(p_brand, if(p_partkey % 2 = 0, ' Emblem', ' Blade'))").alias("name"),
     )
-    return dims.emblem_dimension(items, _trait_names(spark, sf))
+    return dims.emblem_dimension(items, _trait_names(spark, sf), traits)
+
+
+def _brand_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Trait facts that lack every second trait with a name."""
+    number = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+    return sample.table(spark, sf, "part").filter(number % 4 == 0).select(F.concat(F.lit("T14_"), "p_brand").alias("trait_id"))
+
+
+@query
+def dim_unit_traits(spark: SparkSession, sf: str) -> DataFrame:
+    return _unit_traits_dim(spark, sf)
+
+
+@query
+def dim_unit_traits_of_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _unit_traits_dim(spark, sf, _brand_facts(spark, sf))
+
+
+@query
+def dim_emblems(spark: SparkSession, sf: str) -> DataFrame:
+    return _emblems_dim(spark, sf)
+
+
+@query
+def dim_emblems_of_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return _emblems_dim(spark, sf, _brand_facts(spark, sf))
 
 
 @query

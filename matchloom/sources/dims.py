@@ -37,12 +37,15 @@ def _ids_by_name(names: DataFrame) -> DataFrame:
     return names.groupBy(F.col("name").alias("trait_name")).agg(F.max_by("id", "position").alias("trait_id"))
 
 
-def unit_dimension(sets: DataFrame, units: DataFrame, unit_names: DataFrame, trait_names: DataFrame) -> DataFrame:
+def unit_dimension(
+    sets: DataFrame, units: DataFrame, unit_names: DataFrame, trait_names: DataFrame, traits: DataFrame | None = None
+) -> DataFrame:
     """character_id, name and trait ids of every unit in the facts.
 
     A unit in several sets keeps the entry of the last one. A trait name without an id becomes NULL
-    at its place in the list.
+    at its place in the list. ``traits``: trait facts; only traits that occur in them have an id then.
     """
+    trait_names = trait_names if traits is None else of_facts(trait_names, traits, "trait_id")
     used = units.select("character_id").distinct()
     entries = sets.select("set_position", F.posexplode("champions").alias("pos", "c"))
     last = (
@@ -77,8 +80,12 @@ def trait_dimension(sets: DataFrame, traits: DataFrame, trait_names: DataFrame)
     )
 
 
-def emblem_dimension(items: DataFrame, trait_names: DataFrame) -> DataFrame:
-    """item_id and trait_id of every emblem; the trait is found by the emblem's display name."""
+def emblem_dimension(items: DataFrame, trait_names: DataFrame, traits: DataFrame | None = None) -> DataFrame:
+    """item_id and trait_id of every emblem; the trait is found by the emblem's display name.
+
+    ``traits``: trait facts; only traits that occur in them have an id then.
+    """
+    trait_names = trait_names if traits is None else of_facts(trait_names, traits, "trait_id")
     ids = _ids_by_name(trait_names)
     emblems = items.filter(F.col("id").contains("Emblem")).select(
         F.col("id").alias("item_id"), F.nullif(F.regexp_extract("name", EMBLEM_NAME, 1), F.lit("")).alias("trait_name")

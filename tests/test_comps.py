@@ -281,3 +281,12 @@ def test_boards_above_every_level_are_no_compositions(spark, dims):
     traits = spark.createDataFrame([("m", p, "T_X", 2, 1, 2, 1) for p in "pq"], TRAITS)
     built = comps.build_comps(players, spark.createDataFrame(boards, UNITS), traits, dims[1], dims[2])
     assert [r.puuid for r in built.collect()] == ["q"]
+
+
+def test_a_tier_without_a_number_comes_last(spark, lookups):
+    """The needs of a trait are in the same order whether its tiers are a constant or joined."""
+    tiers = spark.createDataFrame([("T_X", 1, 2), ("T_X", None, 4), ("T_Y", None, 3), ("T_X", 2, 6)], "trait_id string, tier int, min_units int")
+    units = spark.createDataFrame([("T_A", ["T_X"])], "character_id string, traits array<string>")
+    lists = spark.createDataFrame([(n, ["T_A_1"] * n) for n in (2, 3, 4)], "n int, units array<string>")
+    got = {r.n: r.active_traits for r in comps.active_traits(lists, "units", units, tiers).collect()}
+    assert {n: [tuple(t) for t in found] for n, found in got.items()} == {n: [("T_X", n)] for n in (2, 3, 4)}
