@@ -6,7 +6,7 @@ compounds and inflections), each counted as present or not. The result is the ex
 P(grade > k), and the most likely grade.
 
 The model is fitted on the driver on a bounded sample of labelled texts: the `SAMPLE` labelled ids of least seeded hash,
-of whose texts at most `SAMPLE_BYTES` are used in that order. A feature is used if it stands in `LEAST` of
+of whose texts at most `SAMPLE_BYTES` are used in that order (sizes are looked at first, texts beyond are not fetched). A feature is used if it stands in `LEAST` of
 these texts or more and its presence depends on the grade (a G statistic of `SIGNAL` or more), so the model is sparse
 and a long text doesn't add up chance. All documents are scored over their whole text, without a shuffle.
 
@@ -75,10 +75,10 @@ def dependence(seen: Counter, share: Counter) -> float:
     return out
 
 
-def fit(texts: list[str], grades: list[int], least: int = LEAST, penalty: float = PENALTY, steps: int = STEPS, joint: bool = False) -> Model:
-    """Maximum likelihood: weights and lowest threshold on all rows, then the thresholds above; `joint`: then all together.
+def fit(texts: list[str], grades: list[int], least: int = LEAST, penalty: float = PENALTY, steps: int = STEPS, joint: bool = True) -> Model:
+    """Maximum likelihood of the cumulative-link model: one weight vector and all thresholds together.
 
-    Apart, the upper thresholds cannot bend the weights. That suits grades that the words say little about.
+    The climb begins at the weights that part grade 0 from the rest. Without `joint` it stays there and fits the thresholds above alone.
     """
     top = max(grades, default=0)
     if top == 0 or min(grades) == top:
@@ -146,15 +146,18 @@ def sample(
     known = labels.where(F.col(grade_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(grade_col).cast("int").alias("_grade"))
     chosen = known.withColumn("_h", F.xxhash64("_id", F.lit(9))).orderBy("_h", "_id").limit(rows)
     text = text_of(text_col)
-    found = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.octet_length("text") <= most // 16).join(F.broadcast(chosen), F.col("id") == F.col("_id"))
-    texts, grades, size = [], [], 0
-    for row in found.select("text", "_grade", "_h").orderBy("_h", "text").limit(rows).toLocalIterator():
-        size += len(row["text"].encode())
-        if size > most:
-            break
-        texts.append(row["text"])
-        grades.append(row["_grade"])
-    return texts, grades
+    rest = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(F.octet_length("text") <= most // 16)
+    found = rest.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("text", "_grade", "_h", F.xxhash64("text").alias("_mark"))
+    # sizes first, so that no texts are fetched beyond the bound
+    sizes = found.select("_h", "_mark", F.octet_length("text").alias("size")).orderBy("_h", "_mark").limit(rows).collect()
+    total = np.cumsum([r["size"] for r in sizes])
+    n = int(np.count_nonzero(total <= most))
+    if not n:
+        return [], []
+    last = sizes[n - 1]
+    fits = found.where((F.col("_h") < last["_h"]) | ((F.col("_h") == last["_h"]) & (F.col("_mark") <= last["_mark"])))
+    held = fits.orderBy("_h", "_mark").limit(n).select("text", "_grade").collect()  # at most `most` bytes
+    return [r["text"] for r in held], [r["_grade"] for r in held]
 
 
 def severity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:

@@ -183,6 +183,62 @@ def test_grades_are_learnt_in_order():
     assert toxicity.fit(["a"], [0]).thresholds.size == 0 and toxicity.fit([], []).weights == {}
 
 
+def loss(row, column, grade, n, state):
+    """Mean negative log likelihood, written from the definition P(grade <= k) = sigmoid(threshold_k - w.x)."""
+    w, raw = state[:n], state[n:]
+    cuts = [raw[0]]
+    for gap in raw[1:]:
+        cuts.append(cuts[-1] + np.exp(gap))
+    total = 0.0
+    for i, g in enumerate(grade):
+        score = sum(w[c] for r, c in zip(row, column, strict=True) if r == i)
+        at_most = [0.0, *[1 / (1 + np.exp(score - c)) for c in cuts], 1.0]
+        total -= np.log(at_most[g + 1] - at_most[g])
+    return total / len(grade)
+
+
+def test_the_fit_climbs_along_the_numeric_gradient():
+    rng = np.random.default_rng(13)
+    n, m, top = 4, 30, 3
+    pairs = [(i, j) for i in range(m) for j in range(n) if rng.random() < 0.4]
+    row, column = np.array(pairs).T
+    grade = np.arange(m) % (top + 1)
+    start = rng.normal(size=n + top) * 0.3
+    slope = np.array([(loss(row, column, grade, n, start + d) - loss(row, column, grade, n, start - d)) / 2e-6 for d in np.eye(n + top) * 1e-6])
+    w, cuts = toxicity.ascend(row, column, grade, n, start, 0.0, 1, 0)
+    first = np.concatenate([w - start[:n], [cuts[0] - start[n]], np.log(np.diff(cuts)) - start[n + 1 :]])
+    assert (np.sign(first) == -np.sign(slope)).all()  # the first step of Adam has the gradient's signs alone
+    w, cuts = toxicity.ascend(row, column, grade, n, start, 0.0, 4000, 0)
+    best = np.concatenate([w, cuts[:1], np.log(np.diff(cuts))])
+    flat = [(loss(row, column, grade, n, best + d) - loss(row, column, grade, n, best - d)) / 2e-5 for d in np.eye(n + top) * 1e-5]
+    assert np.abs(flat).max() < 1e-3 and loss(row, column, grade, n, best) < loss(row, column, grade, n, start)
+
+
+def test_production_fit_tells_three_grades_apart(spark):
+    rng = random.Random(14)
+    texts, grades = ordinal(rng, 900)
+    grades = [min(g, 2) for g in grades]
+    docs = spark.createDataFrame(helpers.rows(texts), helpers.DOCS)
+    labels = spark.createDataFrame([(i, g) for i, g in enumerate(grades) if i < 600], "doc_id long, grade int")
+    model = toxicity.fit(*toxicity.sample(docs, labels))
+    rows = toxicity.severity(docs, model).where("doc_id >= 600").collect()
+    assert np.mean([abs(r["severity"] - grades[r["doc_id"]]) for r in rows]) < 0.05
+    assert np.mean([r["grade"] == grades[r["doc_id"]] for r in rows]) > 0.97
+    for r in rows:  # a second scorer
+        have = set(re.findall(r"\w+", texts[r["doc_id"]].lower()))
+        have |= {f"{x[:k]}-" for x in have for k in (4, 5) if len(x) > k}
+        score = sum(model.weights.get(f, 0.0) for f in have)
+        assert abs(r["severity"] - sum(1 / (1 + np.exp(t - score)) for t in model.thresholds)) < 1e-9
+
+
+def test_the_sample_keeps_to_its_bytes(spark):
+    docs = spark.createDataFrame(helpers.rows(["x" * 100] * 50), helpers.DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, grade int")
+    texts, grades = toxicity.sample(docs, labels, most=2050)
+    assert len(texts) == len(grades) == 20 and texts[0] == "x" * 100
+    assert toxicity.sample(docs, labels, most=99) == ([], [])
+
+
 def test_toxic_documents_go_and_clean_ones_stay(spark):
     rng = random.Random(11)
     data = [(i, " ".join([helpers.prose(rng, 30), "scum"]) if i % 5 == 0 else helpers.prose(rng, 30)) for i in range(400)]
