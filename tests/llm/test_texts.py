@@ -137,6 +137,79 @@ def test_copies_of_a_text_hide_no_term(spark):
     assert len(many) == len(copies) and all(r["text"] == once[r["doc_id"]] for r in many)
 
 
+def terms_by_hand(texts):
+    """Per distinct text the terms that disclose one of its identifiers, from the definitions."""
+    texts = sorted(set(texts))
+    words = [{w for w in re.findall(r"[^\W\d_]+", t.lower()) if len(w) >= sanitise.LETTERS} for t in texts]
+    held, beside = [], []
+    for t in texts:
+        mine, by = set(), set()
+        for kind, pattern in PATTERNS.items():
+            matches = list(re.finditer(pattern, t))
+            edges = [0, *(m.end() for m in matches)], [*(m.start() for m in matches), len(t)]
+            for k, m in enumerate(matches):
+                if not good(kind, m[0]):
+                    continue
+                name = kind + ":" + (m[0].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", m[0]))
+                mine.add(name)
+                before, after = t[edges[0][k] : m.start()], t[m.end() : edges[1][k + 1]]
+                before = re.sub(r"^[^\W\d_]+", "", before[-sanitise.AROUND :]) if len(before) > sanitise.AROUND else before
+                after = re.sub(r"[^\W\d_]+$", "", after[: sanitise.AROUND]) if len(after) > sanitise.AROUND else after
+                by |= {(name, w) for w in re.findall(r"[^\W\d_]+", f"{before}\n{after}".lower()) if len(w) >= sanitise.LETTERS}
+        held.append(mine)
+        beside.append(by)
+    n = len(texts)
+    n_entity, n_term = ({x: sum(x in s for s in sets) for x in set().union(*sets)} for sets in (held, words))
+    told = {}
+    for i, t in enumerate(texts):
+        out = set()
+        for e in held[i]:
+            p = n_entity[e] / n
+            for w in words[i]:
+                near = sum((e, w) in b for b in beside)
+                if (e, w) in beside[i] and (near + p) / (n_term[w] + 1) >= p ** (1 - sanitise.DISCLOSE):
+                    out.add(w)
+                both = sum(e in h and w in x for h, x in zip(held, words, strict=True))
+                if both >= sanitise.SUPPORT:
+                    cells = ((both, n_entity[e], n_term[w]), (n_entity[e] - both, n_entity[e], n - n_term[w]), (n_term[w] - both, n - n_entity[e], n_term[w]))
+                    cells += ((n - n_entity[e] - n_term[w] + both, n - n_entity[e], n - n_term[w]),)
+                    g = sum(2 * x * np.log(x * n / (a * b)) for x, a, b in cells if x)
+                    pmi = np.log2(both * n / (n_entity[e] * n_term[w]))
+                    if pmi > 0 and pmi >= sanitise.DISCLOSE * -np.log2(p) and g >= sanitise.SIGNAL:
+                        out.add(w)
+        told[t] = out
+    return told
+
+
+def test_terms_against_all_counts(spark):
+    rng = random.Random(15)
+    texts = [helpers.prose(rng, 12) for _ in range(1300)]
+    for i in range(7):
+        texts[i] = f"{helpers.prose(rng, 9)} quorl met Zorblax of zed@site.org. {texts[i]}"
+    for i in range(10, 40):  # names beside identifiers that stand in one text, some known from elsewhere
+        name = "".join(rng.choice("bcdfg") + rng.choice("aeiou") for _ in range(4))
+        texts[i] = f"{helpers.prose(rng, rng.randrange(9))} write {name} at {name[:3]}{i}@mail.org or +1 (555) 123-45{i}, {texts[i]}"
+        if i % 3 == 0:
+            texts[i + 100] += f" {name}"
+    texts += texts[:30]
+    docs = spark.createDataFrame(helpers.rows(texts), helpers.DOCS)
+    want = terms_by_hand(texts)
+    rows = {r["doc_id"]: r for r in sanitise.with_spans(docs).collect()}
+    taken = {t: {w for w in x if any(m.lower() == w for m in re.findall(r"[^\W\d_]+", re.sub(r"\S+@\S+", " ", t)))} for t, x in want.items()}
+    assert {i: {s["value"].lower() for s in r["term"]} for i, r in rows.items()} == {i: taken[t] for i, t in enumerate(texts)}
+    assert sum(map(bool, taken.values())) > 20
+
+
+def test_long_contact_lists_are_linear(spark):
+    rng = random.Random(16)
+    text = " ".join(f"{rng.choice('abcdef')}{i}@mail.org" for i in range(20_000))
+    docs = spark.createDataFrame(helpers.rows([text, "x " * 300 + text[:9000]]), helpers.DOCS)
+    got = {r["doc_id"]: r["text"] for r in sanitise.sanitised(docs).collect()}
+    assert got[0] == " ".join(["[EMAIL]"] * 20_000)
+    row = sanitise.digest(sanitise.with_spans(docs)).where("doc_id = 0").first()
+    assert row["base_sha256"] == hashlib.sha256(",".join(base(text)).encode()).hexdigest()
+
+
 def test_terms_need_more_than_chance(spark):
     cases = [(5, 5, 5, True), (5, 500, 5, False), (100_000, 6, 6, False), (100_000, 120, 120, True), (50, 40, 40, True)]
     rows = spark.createDataFrame(cases, "e long, t long, b long, want boolean")
