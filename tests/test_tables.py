@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchloom.operators import acquire
+from matchloom.plans import queries
 from matchloom.sources import dims, landed, tables
 from matchloom.streaming import landing
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 DAY = {n: datetime.date(2025, 4, n) for n in (14, 15, 16)}
 HEADER = "match_id,puuid,name,tagline,placement,level,traits,units,total_damages,player_eliminated,time_eliminated,last_round,gold_left,companion"
 
@@ -314,3 +316,40 @@ def test_daily_counts_over_batches(spark, tmp_path):
     run()
     got = {r.day: (r.n_rows, r.place_sum, r.n_win, r.n_top4) for r in landing.latest_counts(spark, out, ["level"]).collect()}
     assert got == {DAY[14]: (12, 46, 2, 8), DAY[15]: (1, 1, 1, 1), datetime.date(2025, 4, 2): (1, 1, 1, 1)}
+
+
+def orders_at(spark, folder, n=2400):
+    """Orders alone, as the sample's match records need them."""
+    rows = spark.range(n).selectExpr(
+        "id as o_orderkey", "id % 50 as o_custkey", "'O' as o_orderstatus", "cast(id as double) as o_totalprice",
+        "timestamp_ntz '1995-03-01 00:00:00' + make_interval(int(id % 3)) as o_orderdate", "'1-URGENT' as o_orderpriority",
+    )
+    rows.coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def room_of(monkeypatch, folder):
+    """Sends the shared paths of the queries below ``folder``; returns the bytes of the files written under a name, without side files."""
+    monkeypatch.setattr(queries, "shared_path", lambda spark, name: f"{folder}/{name}")
+    return lambda name: sum(f.stat().st_size for f in (folder / name).rglob("part-*"))
+
+
+def test_landed_days_take_little_room(spark, tmp_path, monkeypatch):
+    room = room_of(monkeypatch, tmp_path)
+    got = counts(queries.load_landed_days(spark, orders_at(spark, tmp_path / "in")))
+    assert sum(n for (name, _), n in got.items() if name == "matches") == 1600
+    assert sum(n for (name, _), n in got.items() if name == "participants") == 12_800
+    assert len([name for name, _ in got if name == "rejected_dates"]) == 3
+    people = spark.read.text(str(tmp_path / "landed" / "participants")).agg(F.sum(F.length("value") + 1)).first()[0]
+    assert 0 < room("landed") < people / 8
+
+
+def test_shuffles_of_a_load_go_with_their_jobs(spark, tmp_path, monkeypatch):
+    seen, write = {}, tables.write_table
+    monkeypatch.setattr(tables, "write_table", lambda df, root, name: (seen.update({name: spark.conf.get(CLEANUP)}), write(df, root, name)))
+    landed_root, table_root = land(spark, tmp_path, match("a"), match("b", 15))
+    before = spark.conf.get(CLEANUP)
+    tables.load_pending(spark, landed_root, table_root)
+    assert seen == dict.fromkeys(tables.TABLES, "true") and spark.conf.get(CLEANUP) == before
+    files = list((tmp_path / "tables" / "units").rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
