@@ -353,3 +353,20 @@ def test_shuffles_of_a_load_go_with_their_jobs(spark, tmp_path, monkeypatch):
     assert seen == dict.fromkeys(tables.TABLES, "true") and spark.conf.get(CLEANUP) == before
     files = list((tmp_path / "tables" / "units").rglob("*.parquet"))
     assert files and all(".zstd." in f.name for f in files)
+
+
+def test_streamed_records_take_little_room(spark, tmp_path, monkeypatch):
+    room = room_of(monkeypatch, tmp_path)
+    got = counts(queries.stream_load_tables(spark, orders_at(spark, tmp_path / "in")))
+    assert sum(n for (name, _), n in got.items() if name == "matches") == 1600
+    text = spark.read.text(str(tmp_path / "json")).agg(F.sum(F.length("value") + 1)).first()[0]
+    assert 0 < room("json") < text / 8
+
+
+def test_a_backlog_comes_in_bounded_batches(spark, tmp_path):
+    source, root, check = tmp_path / "in", str(tmp_path / "tables"), tmp_path / "check"
+    for name, records in {"1": "ab", "2": "bc", "3": "ca"}.items():
+        drop(source, f"{name}.json", *[match(r) for r in records])
+    landing.load_matches_stream(spark, str(source), root, str(check), batch_bytes=1000)
+    assert len([f for f in (check / "commits").iterdir() if f.name.isdigit()]) == 3
+    assert {n: tables.read_table(spark, root, n).count() for n in tables.TABLES} == {"matches": 3, "participants": 6, "traits": 6, "units": 9}
