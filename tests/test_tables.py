@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from matchloom.operators import acquire
 from matchloom.plans import queries
-from matchloom.sources import dims, landed, tables
+from matchloom.schemas import RAW_PARTICIPANT
+from matchloom.sources import dims, landed, sample, tables
 from matchloom.streaming import landing
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -370,3 +371,44 @@ def test_a_backlog_comes_in_bounded_batches(spark, tmp_path):
     landing.load_matches_stream(spark, str(source), root, str(check), batch_bytes=1000)
     assert len([f for f in (check / "commits").iterdir() if f.name.isdigit()]) == 3
     assert {n: tables.read_table(spark, root, n).count() for n in tables.TABLES} == {"matches": 3, "participants": 6, "traits": 6, "units": 9}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_participants_that_are_computed_are_made_once(spark, tmp_path):
+    raw = acquire.of_queue(sample.raw_matches(spark, orders_at(spark, tmp_path / "in", 24)))
+    people = acquire.match_participants(raw)
+    assert people.count() == 128 and "size(" not in plan_of(people)
+    odd = spark.createDataFrame([("a", None), ("b", []), ("c", [None, {"puuid": "p"}])], "match_id string, participants array<struct<puuid: string>>")
+    fields = sorted({f.name for f in RAW_PARTICIPANT} - {"puuid", "companion"})
+    p = F.transform("participants", lambda p: F.when(p.isNotNull(), F.struct(p["puuid"].alias("puuid"), *[F.lit(None).cast("int").alias(f) for f in fields], F.struct(F.lit(None).alias("content_ID")).alias("companion"))))
+    rows = acquire.match_participants(odd.select(F.struct("match_id").alias("metadata"), F.struct(p.alias("participants")).alias("info")))
+    assert [(r.match_id, r.puuid) for r in rows.collect()] == [("c", None), ("c", "p")]
+
+
+def test_landed_text_is_cast_once(spark):
+    names = HEADER.split(",")
+    rows = [{"placement": p, "time_eliminated": t} for p, t in (("3", "1.5"), (" +4 ", "NaN"), ("x", "y"), ("", None), (None, "1e3"), ("99999999999", " "), ("1.5", "1,5"))]
+    text = spark.createDataFrame([[r.get(n) for n in names] + [None] for r in rows], ", ".join(f"{n} string" for n in names) + ", run_date date")
+    typed = landed.typed(text, "participants")
+    assert plan_of(typed).count("try_cast(placement") == 1
+    assert [(r.placement, str(r.time_eliminated), r.bad) for r in typed.collect()] == [
+        (3, "1.5", []), (4, "nan", []), (None, "None", ["placement", "time_eliminated"]), (None, "None", ["placement"]),
+        (None, "1000.0", []), (None, "None", ["placement", "time_eliminated"]), (None, "None", ["placement", "time_eliminated"]),
+    ]
+
+
+def test_checks_deal_rows_out_once_to_find_repeats(spark, tmp_path, monkeypatch):
+    found = {}
+    monkeypatch.setattr(tables, "staged", lambda df, name, **kw: found.setdefault(name, df))
+    people = spark.createDataFrame([("a", "p", DAY[14]), (None, "p", DAY[14]), (None, "p", DAY[14]), ("a", "p", DAY[15])], "match_id string, puuid string, run_date date")
+    people = people.withColumn("bad", F.array().cast("array<string>"))
+    heads = people.select("match_id", "run_date", "bad").where("match_id is not null")
+    got = {(r.run_date.day, r.problem): r.n_rows for r in tables._problems(spark, people, heads, str(tmp_path)).collect()}
+    assert got == {
+        (14, "participants with repeated keys"): 2, (14, "participants without a key"): 2,
+        (15, "participants of an earlier day"): 1, (15, "matches of an earlier day"): 1,
+    }
+    assert {tuple(r) for r in found["repeated-participants"].collect()} == {("a", "p"), (None, "p")}
