@@ -412,3 +412,14 @@ def test_checks_deal_rows_out_once_to_find_repeats(spark, tmp_path, monkeypatch)
         (15, "participants of an earlier day"): 1, (15, "matches of an earlier day"): 1,
     }
     assert {tuple(r) for r in found["repeated-participants"].collect()} == {("a", "p"), (None, "p")}
+
+
+def test_sample_records_are_compiled(spark, tmp_path):
+    folder = orders_at(spark, tmp_path / "in", 500)
+    raw = sample.raw_matches(spark, folder)
+    assert plan_of(raw).count("lambdafunction") == 1
+    columns = ["match_id", "puuid", "traits", "units"]
+    got, wanted = (df.select(columns).collect() for df in (acquire.match_participants(raw), sample.raw_boards(spark, folder)))
+    assert len(got) == 4000 and sorted(got) == sorted(wanted)
+    gold = acquire.match_participants(raw).select("match_id", "gold_left").distinct().collect()
+    assert {(r.match_id, r.gold_left) for r in gold} == {(f"M{k}", k % 50) for k in range(500)}
